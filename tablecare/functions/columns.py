@@ -7,6 +7,7 @@ codegen and work the same on batch and streaming DataFrames. Every parse is a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -78,10 +79,54 @@ def fix_negative(c: Column | str) -> Column:
     return F.when(c < F.lit(0), c * F.lit(-1)).otherwise(c)
 
 
+def _run_regex(letter: str, width: int) -> str | None:
+    if letter == "y":
+        return r"[+-]?[0-9]+"
+    if letter in "Md":
+        return r"[0-9]+" if (letter == "d" or width <= 2) else r"[A-Za-z]+"
+    return None
+
+
+def shape_guard(fmt: str) -> str | None:
+    """A regex every string that ``fmt`` can parse must match, or None.
+
+    Built from the pattern: year, month and day fields become digit runs (or
+    letters for text months), other characters must appear literally. The
+    guard is a superset of what the parser accepts, so putting it in front of
+    the parse never changes a result; it only skips parses that would fail
+    (each failed parse costs an exception). Patterns with other fields or
+    quoted text get no guard.
+    """
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch.isalpha():
+            j = i
+            while j < len(fmt) and fmt[j] == ch:
+                j += 1
+            rx = _run_regex(ch, j - i)
+            if rx is None:
+                return None
+            out.append(rx)
+            i = j
+        elif ch == "'":
+            return None
+        else:
+            out.append(re.escape(ch))
+            i += 1
+    out.append("$")
+    return "".join(out)
+
+
 def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that parses wins; text no format accepts gives NULL."""
     c = _c(c)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    tries = []
+    for f in formats:
+        guard = shape_guard(f)
+        parsed = F.try_to_date(c, f)
+        tries.append(parsed if guard is None else F.when(c.rlike(guard), parsed))
+    return F.coalesce(*tries)
 
 
 def in_range(c: Column | str, low=LEVEL_RANGE[0], high=LEVEL_RANGE[1]) -> Column:

@@ -36,6 +36,7 @@ from pyspark.sql.types import MapType
 
 from tablecare.functions.columns import all_not_null
 
+
 DEFAULT_FLAG = "duplicate_row"
 DEFAULT_COUNT = "copies"
 # A fingerprint is 8 bytes; 4M of them is ~32 MB once broadcast.
@@ -90,16 +91,16 @@ def _flag_by_join(df: DataFrame, keys: list[str], flag: str, null_safe: bool) ->
                          F.coalesce(F.col("r.__dup"), F.lit(False)).alias(flag))
 
 
-def fingerprint(keys: Sequence[str], null_safe: bool) -> Column:
-    """64-bit hash of the key values; NULL when the row can never be flagged.
+def fingerprint(keys: Sequence[str]) -> Column:
+    """64-bit hash of the key values and of their NULL pattern; never NULL.
 
-    ``xxhash64`` skips NULL inputs, so in the NULL-safe mode the NULL pattern is
-    hashed too, keeping ``(NULL, 'a')`` and ``('a', NULL)`` apart.
+    ``xxhash64`` skips NULL inputs, so the NULL pattern is hashed too, keeping
+    ``(NULL, 'a')`` and ``('a', NULL)`` apart. Being non-nullable matters for
+    the plan: Catalyst then has no ``IS NOT NULL`` filter to push below the
+    projection, which would evaluate every cleaning expression twice.
     """
     cols = [F.col(f"`{k}`") for k in keys]
-    if null_safe:
-        return F.xxhash64(F.array(*[c.isNull() for c in cols]), *cols)
-    return F.when(all_not_null([f"`{k}`" for k in keys]), F.xxhash64(*cols))
+    return F.xxhash64(F.array(*[c.isNull() for c in cols]), *cols)
 
 
 def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: bool,
@@ -107,9 +108,8 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     from tablecare.session import shared_dir
 
     shared_dir(df.sparkSession)  # checkpoint() writes under spark.checkpoint.dir
-    tagged = df.withColumn("__fp", fingerprint(keys, null_safe))
-    repeated = (tagged.where(F.col("__fp").isNotNull())
-                      .groupBy("__fp").agg(F.count(F.lit(1)).alias("__n"))
+    tagged = df.withColumn("__fp", fingerprint(keys))
+    repeated = (tagged.groupBy("__fp").agg(F.count(F.lit(1)).alias("__n"))
                       .where(F.col("__n") > F.lit(1))
                       .select("__fp", F.lit(True).alias("__cand")))
     repeated = repeated.checkpoint(eager=True)
@@ -120,11 +120,19 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     plain = (marked.where(F.col("__cand").isNull())
                    .select(*[F.col(f"`{c}`") for c in df.columns], F.lit(False).alias(flag)))
 
-    cand = marked.where(F.col("__cand").isNotNull()).drop("__fp", "__cand")
-    counts = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    confirmed = (cand.alias("l").join(counts.alias("r"), _key_match(keys, null_safe), "inner")
-                     .select(*[_ref("l", c) for c in df.columns],
-                             (F.col("r.__n") > F.lit(1)).alias(flag)))
+    # Exact confirmation among candidates: group on the full key values, join
+    # back on fingerprint plus NULL-safe equality of every key (NULL-safe
+    # equality gives Catalyst no IS NOT NULL filter to push down), and apply
+    # the NULL-unsafe rule after the join: a row holding a NULL key is never a
+    # duplicate, as with an equi-join on all columns.
+    cand = marked.where(F.col("__cand").isNotNull()).drop("__cand")
+    counts = cand.groupBy("__fp", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    match = (F.col("l.__fp") == F.col("r.__fp")) & _key_match(keys, True)
+    is_dup = F.coalesce(F.col("r.__n") > F.lit(1), F.lit(False))
+    if not null_safe:
+        is_dup = is_dup & all_not_null([f"l.`{k}`" for k in keys])
+    confirmed = (cand.alias("l").join(counts.alias("r"), match, "left")
+                     .select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag)))
     return plain.unionByName(confirmed)
 
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablecare.sources.files import read_parquet
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dirty_columns(k: Column) -> list[Column]:

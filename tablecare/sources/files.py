@@ -15,6 +15,25 @@ CSV_OPTIONS = {
 }
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give an under-split scan at least one partition per core.
+
+    A file that cannot be split (one row group, one gzip stream) is read by a
+    single task, and every narrow step after it runs on one core. When the scan
+    has fewer partitions than the session's parallelism, rows are dealt
+    round-robin to that many partitions. Large inputs already have more splits
+    than cores, so for them this is a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spread(spark.read.parquet(path))
+
+
 def string_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
