@@ -81,14 +81,14 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str] | None = None,
 
 
 def _flag_by_join(df: DataFrame, keys: list[str], flag: str, null_safe: bool) -> DataFrame:
-    dups = duplicate_groups(df, keys, "__copies").select(*keys, F.lit(True).alias("__dup"))
+    """Aggregate on all keys, left join back on all keys (NULL-safe match, NULL
+    rule applied after the join, see ``mark_duplicates_left``)."""
+    marked = duplicate_groups(df, keys, "__copies").select(*keys, F.lit(True).alias("__dup"))
+    joined = df.alias("l").join(marked.alias("r"), _key_match(keys, True), "left")
+    is_dup = F.coalesce(F.col("r.__dup"), F.lit(False))
     if not null_safe:
-        joined = df.join(dups, on=keys, how="left")
-        return joined.select(*[F.col(f"`{c}`") for c in df.columns],
-                             F.coalesce(F.col("__dup"), F.lit(False)).alias(flag))
-    joined = df.alias("l").join(dups.alias("r"), _key_match(keys, True), "left")
-    return joined.select(*[_ref("l", c) for c in df.columns],
-                         F.coalesce(F.col("r.__dup"), F.lit(False)).alias(flag))
+        is_dup = is_dup & all_not_null([f"l.`{k}`" for k in keys])
+    return joined.select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag))
 
 
 def fingerprint(keys: Sequence[str]) -> Column:
@@ -156,7 +156,16 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None,
 
 def mark_duplicates_left(df: DataFrame, keys: Sequence[str] | None = None,
                          flag: str = DEFAULT_FLAG) -> DataFrame:
-    """The source pipeline's raw left join: the flag is True or NULL (before filling)."""
+    """The source pipeline's raw left join: the flag is True or NULL (before filling).
+
+    Same result as ``df LEFT JOIN groups USING (all keys)``: True for rows
+    with no NULL key whose values occur more than once, NULL otherwise. The
+    join matches NULL-safely and applies the NULL rule afterwards, so Catalyst
+    infers no IS NOT NULL filter on derived key columns (which it would push
+    under the projection and evaluate every expression twice).
+    """
     keys = _keys(df, keys)
-    dups = duplicate_groups(df, keys, "__copies").select(*keys, F.lit(True).alias(flag))
-    return df.join(dups, on=keys, how="left").select(*[F.col(f"`{c}`") for c in df.columns], flag)
+    marked = duplicate_groups(df, keys, "__copies").select(*keys, F.lit(True).alias("__dup"))
+    joined = df.alias("l").join(marked.alias("r"), _key_match(keys, True), "left")
+    value = F.when(F.col("r.__dup") & all_not_null([f"l.`{k}`" for k in keys]), F.lit(True))
+    return joined.select(*[_ref("l", c) for c in df.columns], value.alias(flag))

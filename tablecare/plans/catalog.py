@@ -80,7 +80,7 @@ def q_scan_csv(spark, d):
 
 def _write_two_runs(spark, d) -> tuple[str, DataFrame]:
     root = fresh_dir(spark, "runs")
-    tagged = _tagged(spark, d)
+    tagged = sinks.stage(_tagged(spark, d), "tagged")
     for run in (RUN_A, RUN_B, RUN_A):  # the repeated run must not double
         sinks.write_run(tagged, root, run)
     return root, sinks.read_outputs(spark, root, "csv", tagged.schema)
@@ -96,7 +96,7 @@ def q_run_summary(spark, d):
 
 def q_sink_latest_and_runs(spark, d):
     root = fresh_dir(spark, "publish")
-    tagged = _tagged(spark, d)
+    tagged = sinks.stage(_tagged(spark, d), "tagged")
     for run in (RUN_A, RUN_B):
         runs, latest = sinks.publish(tagged, root, run)
     schema = tagged.schema
@@ -108,7 +108,7 @@ def q_sink_latest_and_runs(spark, d):
 
 def _warehouse(spark, d) -> DataFrame:
     root = fresh_dir(spark, "warehouse")
-    clean = _split(spark, d).clean
+    clean = sinks.stage(_split(spark, d).clean, "clean")
     for run in (RUN_A, RUN_B, RUN_A):
         sinks.load_warehouse(clean, root, run)
     return root

@@ -35,6 +35,20 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str] = ()
     return w
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage where one computed table feeds several writes or reports:
+    they read the staged files instead of recomputing the cleaning, and a lost
+    executor costs a re-read, not a recomputation.
+    """
+    from tablecare.session import fresh_dir
+
+    path = fresh_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_run(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv",
               partition_by: Sequence[str] = ("outcome", "run_id")) -> str:
     """Write clean and quarantine rows of one run in a single pass.
