@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tablecare.functions.text import Rule, categorize as categorize_col, short_name as short_name_col
 from tablecare.operators import duplicates, frames, profile as prof, split as sp, usage, validate
 from tablecare.plans.fixtures import dirty_orders, read_table
+from tablecare.plans.run import RunLayout, run_table
 from tablecare.plans.spec import ORDERS_SPEC, clean_table, tagged_table
 from tablecare.session import fresh_dir
 from tablecare.sources import files, sinks
@@ -136,6 +137,14 @@ def q_stamp_run_id(spark, d):
     return frames.stamp_run_id(_split(spark, d).clean, RUN_A)
 
 
+def q_run_end_to_end(spark, d):
+    layout = RunLayout(fresh_dir(spark, "end_to_end"))
+    raw = dirty_orders(spark, d)
+    args = ("order_type", "status", "base_price")
+    run_table(raw, SPEC, layout, RUN_A, *args).collect()
+    return run_table(raw, SPEC, layout, RUN_B, *args)
+
+
 def q_preview(spark, d):
     return frames.preview(read_table(spark, d, "orders"), 30, ["o_orderkey"])
 
@@ -302,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "validate_load": q_validate_load,
     "validate_load_sql": q_validate_load_sql,
     "run_summary": q_run_summary,
+    "run_end_to_end": q_run_end_to_end,
     # re-aimed operators
     "keyword_search": q_keyword_search,
     "keyword_search_pages": q_keyword_search_pages,

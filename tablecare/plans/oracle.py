@@ -187,6 +187,15 @@ def build() -> dict[str, str]:
                   "round(avg(base_price), 2) AS average_price FROM clean")
     sql["validate_load"] = chain("s_flag", clean_cte) + validation
     sql["validate_load_sql"] = chain("s_flag", clean_cte) + validation
+    sql["run_end_to_end"] = (
+        chain("s_flag", clean_cte + ",\nt AS (SELECT count(*) AS total_rows, "
+              f"count(*) FILTER (WHERE NOT {QCOND}) AS clean_rows, "
+              f"count(*) FILTER (WHERE {QCOND}) AS quarantine_rows FROM s_flag),\n"
+              "v AS (SELECT count(DISTINCT order_type) AS distinct_types, "
+              "count(DISTINCT status) AS distinct_statuses, "
+              "round(avg(base_price), 2) AS average_price FROM clean)")
+        + f"SELECT '{RUN_B}' AS run_id, total_rows, clean_rows, quarantine_rows, distinct_types, "
+          "distinct_statuses, average_price, true AS load_complete FROM t, v")
     sql["preview"] = ("SELECT *, (SELECT count(*) FROM (SELECT 1 FROM orders LIMIT 31)) > 30 "
                       "AS truncated FROM orders ORDER BY o_orderkey LIMIT 30")
 
