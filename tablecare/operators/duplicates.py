@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -112,8 +112,9 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     repeated = (tagged.groupBy("__fp").agg(F.count(F.lit(1)).alias("__n"))
                       .where(F.col("__n") > F.lit(1))
                       .select("__fp", F.lit(True).alias("__cand")))
-    repeated = repeated.checkpoint(eager=True)
-    small = repeated.count() <= broadcast_rows
+    size = Observation()
+    repeated = repeated.observe(size, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    small = size.get["n"] <= broadcast_rows  # counted while the checkpoint was written
     side = F.broadcast(repeated) if small else repeated
     marked = tagged.join(side, on="__fp", how="left")
 

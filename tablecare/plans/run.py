@@ -58,7 +58,7 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     """
     required, flag = spec.required(), spec.flag()
     tagged = with_outcome(spec.apply(raw), required, flag)
-    obs = Observation(f"split_{run_id}")
+    obs = Observation()
     tagged = tagged.observe(obs, F.count(F.lit(1)).alias("total_rows"),
                             F.count_if(F.col("outcome") == F.lit(CLEAN)).alias("clean_rows"),
                             F.count_if(F.col("outcome") == F.lit(QUARANTINE)).alias("quarantine_rows"))
