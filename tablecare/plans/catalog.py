@@ -79,6 +79,13 @@ def q_scan_csv(spark, d):
     return files.read_csv(spark, root, schema=files.string_schema(raw.columns))
 
 
+def q_scan_csv_infer(spark, d):
+    """The source pipeline's scan: header plus type inference (messy columns stay text)."""
+    root = fresh_dir(spark, "scan_csv_infer")
+    dirty_orders(spark, d).write.options(**sinks.CSV_WRITE_OPTIONS).csv(root)
+    return files.read_csv(spark, root, infer=True)
+
+
 def _write_two_runs(spark, d) -> tuple[str, DataFrame]:
     root = fresh_dir(spark, "runs")
     tagged = sinks.stage(_tagged(spark, d), "tagged")
@@ -207,6 +214,10 @@ def q_profile(spark, d):
     return prof.profile(_flagged(spark, d))
 
 
+def q_profile_raw(spark, d):
+    return prof.profile(dirty_orders(spark, d))
+
+
 def q_profile_lineitem(spark, d):
     return prof.profile(read_table(spark, d, "lineitem"))
 
@@ -267,6 +278,7 @@ def q_named_map(spark, d):
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_csv": q_scan_csv,
+    "scan_csv_infer": q_scan_csv_infer,
     "read_run": q_read_run,
     "sink_run_csv": q_sink_run_csv,
     "sink_latest_and_runs": q_sink_latest_and_runs,
@@ -294,6 +306,8 @@ QUERIES: dict[str, Query] = {
     "duplicate_groups": q_duplicate_groups,
     "flag_duplicates": lambda s, d: _flagged(s, d),
     "flag_duplicates_nullsafe": lambda s, d: _flagged(s, d, null_safe=True),
+    "flag_duplicates_join": lambda s, d: SPEC.replace("flag_duplicates", method="join")
+                                             .upto("flag_duplicates").apply(dirty_orders(s, d)),
     "quarantine_rows": q_quarantine_rows,
     "clean_rows": q_clean_rows,
     "clean_table": q_clean_table,
@@ -305,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "distinct_counts": q_distinct_counts,
     "duplicate_ids": q_duplicate_ids,
     "profile": q_profile,
+    "profile_raw": q_profile_raw,
     "profile_lineitem": q_profile_lineitem,
     "findings": q_findings,
     "profile_diff": q_profile_diff,

@@ -168,6 +168,7 @@ def build() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["scan_csv"] = f"WITH dirty AS ({DIRTY}) SELECT * FROM dirty"
+    sql["scan_csv_infer"] = sql["scan_csv"]
     sql["sink_run_csv"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
                            + _runs_table("tagged", [RUN_A, RUN_B]))
     sql["run_summary"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
@@ -208,6 +209,7 @@ def build() -> dict[str, str]:
                        ("try_cast_int", "s_int"), ("range_check", "s_range"),
                        ("flag_duplicates", "s_flag"), ("fill_default", "s_flag")]:
         sql[key] = upto(stage)
+    sql["flag_duplicates_join"] = upto("s_flag")
     sql["flag_duplicates_nullsafe"] = chain("s_range", NULLSAFE_FLAG) + "SELECT * FROM s_flag_ns"
     sql["null_check"] = (chain("s_range") + "SELECT *, ("
                          + " OR ".join(f"{c} IS NULL" for c in REQ) + ") AS missing_required FROM s_range")
@@ -231,6 +233,7 @@ def build() -> dict[str, str]:
         "max(CASE WHEN \"Order ID\" IS NULL THEN 1 ELSE 0 END))::BIGINT AS distinct_ids FROM dirty) "
         "SELECT rows, distinct_ids, rows - distinct_ids AS duplicate_ids FROM x")
     sql["profile"] = flagged + _profile_rows("s_flag", TYPES12)
+    sql["profile_raw"] = f"WITH dirty AS ({DIRTY}) " + _profile_rows("dirty", RAW_TYPES)
     sql["profile_lineitem"] = _profile_rows("lineitem", LINEITEM)
     watch = ("Order Type", "Status", "Risk Level")
     sql["findings"] = (
