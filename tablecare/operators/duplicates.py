@@ -6,7 +6,8 @@ equality is NULL-unsafe (a row with a NULL in any key is never flagged, as an
 equi-join ``USING`` all columns behaves); ``null_safe=True`` treats NULLs as
 equal.
 
-Scale design (``method="fingerprint"``, the default):
+Scale design (``method="fingerprint"``, chosen by ``auto`` for inputs larger
+than one wave of tasks):
 
 1. Each eligible row gets a 64-bit fingerprint of its key values. Counting
    fingerprints is a shuffle of 8-byte values with map-side partial counts, so
@@ -23,7 +24,8 @@ Scale design (``method="fingerprint"``, the default):
    skew-join split.
 
 ``method="join"`` is the plain form (aggregate on all columns, left join back
-on all columns): two full shuffles of whole rows. Kept for comparison.
+on all columns): two full shuffles of whole rows, the cheaper plan for inputs
+that fit in one wave of tasks. Its join is skew-safe through AQE's skew split.
 """
 
 from __future__ import annotations
@@ -137,17 +139,37 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     return plain.unionByName(confirmed)
 
 
+# Inputs of at most this many waves of tasks take the join method.
+JOIN_MAX_WAVES = 2
+
+
+def choose_method(df: DataFrame) -> str:
+    """``join`` when the input fits in a couple of waves of tasks, else ``fingerprint``.
+
+    For an input that few partitions cover, shuffling whole rows twice is
+    cheaper than the fingerprint's extra passes over the input; beyond that,
+    shuffle volume dominates and the fingerprint keeps most rows out of the
+    shuffle. (On 4,000 cores two waves of 128 MB splits is about 1 TB.)
+    """
+    waves = df.rdd.getNumPartitions() / max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return "join" if waves <= JOIN_MAX_WAVES else "fingerprint"
+
+
 def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None,
                     flag: str = DEFAULT_FLAG, null_safe: bool = False,
-                    method: str = "fingerprint",
+                    method: str = "auto",
                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every row of ``df`` once, plus a non-NULL boolean ``flag`` column.
 
-    ``keys`` defaults to all columns. See the module notes for the methods.
+    ``keys`` defaults to all columns. ``method`` is ``fingerprint``, ``join``
+    or ``auto`` (see ``choose_method``); all give the same rows. See the
+    module notes.
     """
     keys = _keys(df, keys)
     if flag in df.columns:
         raise ValueError(f"flag column {flag!r} already exists")
+    if method == "auto":
+        method = choose_method(df)
     if method == "join":
         return _flag_by_join(df, keys, flag, null_safe)
     if method == "fingerprint":

@@ -308,6 +308,8 @@ QUERIES: dict[str, Query] = {
     "flag_duplicates_nullsafe": lambda s, d: _flagged(s, d, null_safe=True),
     "flag_duplicates_join": lambda s, d: SPEC.replace("flag_duplicates", method="join")
                                              .upto("flag_duplicates").apply(dirty_orders(s, d)),
+    "flag_duplicates_fingerprint": lambda s, d: SPEC.replace("flag_duplicates", method="fingerprint")
+                                                    .upto("flag_duplicates").apply(dirty_orders(s, d)),
     "quarantine_rows": q_quarantine_rows,
     "clean_rows": q_clean_rows,
     "clean_table": q_clean_table,

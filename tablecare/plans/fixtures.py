@@ -8,7 +8,7 @@ twice, as an exact copy).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecare.sources.files import read_parquet
@@ -18,41 +18,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _dirty_columns(k: Column) -> list[Column]:
-    o = F.col
-    mod = lambda m: k % F.lit(m)
-    date_text = (
-        F.when(mod(7) == 0, F.date_format(o("o_orderdate"), "M/d/yy"))
-        .when(mod(7) == 1, F.date_format(o("o_orderdate"), "yyyy-MM-dd"))
-        .when(mod(7) == 2, F.date_format(o("o_orderdate"), "yyyy/MM/dd"))
-        .when(mod(7) == 3, F.date_format(o("o_orderdate"), "MMM d yyyy"))
-        .when(mod(7) == 4, F.date_format(o("o_orderdate"), "MM-dd-yyyy"))
-        .when(mod(7) == 5, F.lit("not a date"))
-        .otherwise(F.lit("32/13/2026"))
-    )
-    price_text = (
-        F.when(mod(30) == 20, F.lit(None).cast("string"))
-        .when(mod(4) == 0, F.concat(F.lit("$"), (mod(9) + 1).cast("string"), F.lit(","),
-                                    F.lpad(mod(1000).cast("string"), 3, "0"), F.lit(".00")))
-        .when(mod(4) == 1, F.concat(F.lit("USD "), mod(5000).cast("string")))
-        .when(mod(4) == 2, F.concat(F.lit("-"), mod(700).cast("string")))
-        .otherwise(mod(5000).cast("string"))
-    )
-    return [
-        F.concat(F.when(mod(2) == 0, F.lit("o")).otherwise(F.lit("O")), k.cast("string")).alias("Order ID"),
-        F.when(mod(20) == 3, F.lit("   "))
-         .when(mod(20) == 13, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("  cUSTOMER "), o("o_custkey").cast("string"), F.lit(" ")))
-         .alias("Customer Name"),
-        F.when(mod(3) == 0, F.upper(o("o_orderpriority")))
-         .when(mod(3) == 1, F.lower(o("o_orderpriority")))
-         .otherwise(o("o_orderpriority")).alias("Order Type"),
-        F.when(mod(25) == 7, F.lit("two")).when(mod(25) == 17, F.lit("High"))
-         .otherwise(mod(12).cast("string")).alias("Risk Level"),
-        date_text.alias("Created Date"),
-        price_text.alias("Base Price"),
-        F.when(mod(2) == 0, F.lower(o("o_orderstatus"))).otherwise(o("o_orderstatus")).alias("Status"),
-    ]
+# The fixture's columns as Spark SQL (the "Spark form" of the FIXTURES.md text).
+DIRTY_COLUMNS = [
+    "CASE WHEN o_orderkey % 2 = 0 THEN 'o' ELSE 'O' END || o_orderkey::string AS `Order ID`",
+    "CASE WHEN o_orderkey % 20 = 3 THEN '   ' WHEN o_orderkey % 20 = 13 THEN NULL"
+    " ELSE '  cUSTOMER ' || o_custkey::string || ' ' END AS `Customer Name`",
+    "CASE o_orderkey % 3 WHEN 0 THEN upper(o_orderpriority)"
+    " WHEN 1 THEN lower(o_orderpriority) ELSE o_orderpriority END AS `Order Type`",
+    "CASE WHEN o_orderkey % 25 = 7 THEN 'two' WHEN o_orderkey % 25 = 17 THEN 'High'"
+    " ELSE (o_orderkey % 12)::string END AS `Risk Level`",
+    "CASE o_orderkey % 7 WHEN 0 THEN date_format(o_orderdate, 'M/d/yy')"
+    " WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd')"
+    " WHEN 2 THEN date_format(o_orderdate, 'yyyy/MM/dd')"
+    " WHEN 3 THEN date_format(o_orderdate, 'MMM d yyyy')"
+    " WHEN 4 THEN date_format(o_orderdate, 'MM-dd-yyyy')"
+    " WHEN 5 THEN 'not a date' ELSE '32/13/2026' END AS `Created Date`",
+    "CASE WHEN o_orderkey % 30 = 20 THEN NULL ELSE CASE o_orderkey % 4"
+    " WHEN 0 THEN '$' || (o_orderkey % 9 + 1)::string || ','"
+    " || lpad((o_orderkey % 1000)::string, 3, '0') || '.00'"
+    " WHEN 1 THEN 'USD ' || (o_orderkey % 5000)::string"
+    " WHEN 2 THEN '-' || (o_orderkey % 700)::string"
+    " ELSE (o_orderkey % 5000)::string END END AS `Base Price`",
+    "CASE o_orderkey % 2 WHEN 0 THEN lower(o_orderstatus) ELSE o_orderstatus END AS `Status`",
+]
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +48,4 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     copies = orders.where(F.col("o_orderkey") % F.lit(10) == F.lit(0))
-    return orders.unionByName(copies).select(*_dirty_columns(F.col("o_orderkey")))
+    return orders.unionByName(copies).selectExpr(*DIRTY_COLUMNS)

@@ -210,6 +210,7 @@ def build() -> dict[str, str]:
                        ("flag_duplicates", "s_flag"), ("fill_default", "s_flag")]:
         sql[key] = upto(stage)
     sql["flag_duplicates_join"] = upto("s_flag")
+    sql["flag_duplicates_fingerprint"] = upto("s_flag")
     sql["flag_duplicates_nullsafe"] = chain("s_range", NULLSAFE_FLAG) + "SELECT * FROM s_flag_ns"
     sql["null_check"] = (chain("s_range") + "SELECT *, ("
                          + " OR ".join(f"{c} IS NULL" for c in REQ) + ") AS missing_required FROM s_range")
