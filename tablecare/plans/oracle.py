@@ -171,11 +171,10 @@ def build() -> dict[str, str]:
     sql["scan_csv_infer"] = sql["scan_csv"]
     sql["sink_run_csv"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
                            + _runs_table("tagged", [RUN_A, RUN_B]))
-    sql["run_summary"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
-                          + "SELECT r.run_id, count(*) FILTER (WHERE outcome = 'clean') AS clean_rows, "
-                            "count(*) FILTER (WHERE outcome = 'quarantine') AS quarantine_rows "
-                            "FROM tagged, (SELECT '" + RUN_A + "' AS run_id UNION ALL SELECT '"
-                          + RUN_B + "') r GROUP BY r.run_id")
+    sql["run_summary"] = (chain("s_flag", f"tagged AS ({tagged_sel})") + "\nUNION ALL\n".join(
+        f"SELECT '{r}' AS run_id, count(*) FILTER (WHERE outcome = 'clean') AS clean_rows, "
+        "count(*) FILTER (WHERE outcome = 'quarantine') AS quarantine_rows FROM tagged"
+        for r in (RUN_A, RUN_B)))
     sql["sink_latest_and_runs"] = (
         chain("s_flag", f"tagged AS ({tagged_sel})")
         + "SELECT *, 'runs' AS copy FROM (" + _runs_table("tagged", [RUN_A, RUN_B]) + ")\n"
@@ -195,8 +194,10 @@ def build() -> dict[str, str]:
               "v AS (SELECT count(DISTINCT order_type) AS distinct_types, "
               "count(DISTINCT status) AS distinct_statuses, "
               "round(avg(base_price), 2) AS average_price FROM clean)")
-        + f"SELECT '{RUN_B}' AS run_id, total_rows, clean_rows, quarantine_rows, distinct_types, "
-          "distinct_statuses, average_price, true AS load_complete FROM t, v")
+        + f"SELECT '{RUN_B}' AS run_id, total_rows, clean_rows, quarantine_rows, "
+          "(SELECT distinct_types FROM v) AS distinct_types, "
+          "(SELECT distinct_statuses FROM v) AS distinct_statuses, "
+          "(SELECT average_price FROM v) AS average_price, true AS load_complete FROM t")
     sql["preview"] = ("SELECT *, (SELECT count(*) FROM (SELECT 1 FROM orders LIMIT 31)) > 30 "
                       "AS truncated FROM orders ORDER BY o_orderkey LIMIT 30")
 
