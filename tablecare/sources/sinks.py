@@ -62,6 +62,12 @@ def write_run(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv",
     return root
 
 
+def write_latest(written: DataFrame, latest: str, fmt: str = "csv") -> str:
+    """Replace the whole ``latest/`` copy with one run's rows (partitioned by outcome)."""
+    _writer(written, fmt, "overwrite", ("outcome",), dynamic=False).save(latest)
+    return latest
+
+
 def publish(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv") -> tuple[str, str]:
     """Publish a run twice: into ``runs/`` (history) and as ``latest/``.
 
@@ -74,7 +80,7 @@ def publish(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv") -> tupl
     write_run(tagged, runs, run_id, fmt)
     spark = tagged.sparkSession
     written = read_outputs(spark, runs, fmt, tagged.schema).where(F.col("run_id") == F.lit(run_id))
-    _writer(written, fmt, "overwrite", ("outcome",), dynamic=False).save(latest)
+    write_latest(written, latest, fmt)
     return runs, latest
 
 
