@@ -114,7 +114,7 @@ def q_sink_latest_and_runs(spark, d):
     return hist.unionByName(last)
 
 
-def _warehouse(spark, d) -> DataFrame:
+def _warehouse(spark, d) -> str:
     root = fresh_dir(spark, "warehouse")
     clean = sinks.stage(_split(spark, d).clean, "clean")
     for run in (RUN_A, RUN_B, RUN_A):

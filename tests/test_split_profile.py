@@ -48,3 +48,11 @@ def test_profile_is_one_job(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("a"), (F.col("id") % 3).alias("b"))
     plan = P.profile(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") + plan.count("Range") == 1
+
+
+def test_profile_approx_close_to_exact(spark):
+    df = spark.range(5000).select((F.col("id") % 997).alias("a"), F.col("id").cast("string").alias("s"))
+    exact = {r.column: r.distinct_count for r in P.profile(df).collect()}
+    approx = {r.column: r.distinct_count for r in P.profile(df, approx=True).collect()}
+    assert exact == {"a": 997, "s": 5000}
+    assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] for c in exact)
