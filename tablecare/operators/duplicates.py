@@ -151,7 +151,12 @@ def choose_method(df: DataFrame) -> str:
     shuffle volume dominates and the fingerprint keeps most rows out of the
     shuffle. (On 4,000 cores two waves of 128 MB splits is about 1 TB.)
     """
-    waves = df.rdd.getNumPartitions() / max(1, df.sparkSession.sparkContext.defaultParallelism)
+    from tablecare.session import default_parallelism, partitions
+
+    have = partitions(df)
+    if have is None:
+        return "fingerprint"
+    waves = have / max(1, default_parallelism(df.sparkSession))
     return "join" if waves <= JOIN_MAX_WAVES else "fingerprint"
 
 

@@ -41,24 +41,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "0") or 0) or int(
+        spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def partitions(df) -> int | None:
+    """Number of partitions of a DataFrame's plan, or None when not available."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on Spark Connect
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by all executors (``spark.checkpoint.dir``).
 
     Read from the session; set only when unset (tests on one machine).
     """
+    sc = _context(spark)
     path = spark.conf.get(CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-        if path:
-            # getCheckpointDir() returns <dir>/<uuid>; keep its parent
-            path = path.rsplit("/", 1)[0]
+    if not path and sc is not None and sc.getCheckpointDir():
+        # getCheckpointDir() returns <dir>/<uuid>; keep its parent
+        path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
         path = tempfile.mkdtemp(prefix="tablecare-")
-        spark.sparkContext.setCheckpointDir(path)
         spark.conf.set(CHECKPOINT_KEY, path)
-    else:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 

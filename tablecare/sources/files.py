@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tablecare.session import default_parallelism, partitions
+
 CSV_OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",          # a leading byte-order mark is dropped from the first header
@@ -24,8 +26,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin to that many partitions. Large inputs already have more splits
     than cores, so for them this is a no-op and adds no shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    have = partitions(df)
+    if have is None or have >= target:
         return df
     return df.repartition(target)
 
