@@ -9,7 +9,6 @@ fresh scratch folder and record it on the session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,12 +85,3 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never-used folder under the shared root (one per run or test)."""
     return f"{shared_dir(spark)}/{name}/{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)

@@ -74,3 +74,24 @@ def test_shape_guard_skips_unknown_fields():
     assert C.shape_guard("yyyy-MM-dd HH:mm") is None
     assert C.shape_guard("yyyy'T'MM") is None
     assert C.shape_guard("MMM d yyyy") is not None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+TEXT = st.one_of(st.none(), st.text(alphabet=" \taB$,.USD0123-/x", max_size=12))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=20))
+def test_value_steps_idempotent(spark, values):
+    """Every value step except date parsing gives the same result when applied twice."""
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    steps = [C.trim_spaces, C.blank_to_null, C.case_upper, C.case_lower, C.case_title, C.clean_currency]
+    for fn in steps:
+        once = df.select(fn(F.col("v")).alias("v"))
+        twice = once.select(fn(F.col("v")).alias("v"))
+        assert [r.v for r in once.collect()] == [r.v for r in twice.collect()], fn.__name__
+    nums = df.select(C.try_double(C.clean_currency("v")).alias("v"))
+    for fn in (C.fix_negative, C.in_range, C.try_double):
+        once = nums.select(fn(F.col("v")).alias("v"))
+        assert once.collect() == once.select(fn(F.col("v")).alias("v")).collect(), fn.__name__

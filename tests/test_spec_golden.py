@@ -86,3 +86,17 @@ def test_ragged_line_kept_in_corrupt_column(spark):
     df = read_csv(spark, path, schema="a string, b string", corrupt_column="_bad")
     bad = [r._bad for r in df.collect()]
     assert bad.count(None) == 1 and "3,4,5" in bad
+
+
+@pytest.mark.parametrize("null_safe,clean,quarantine,dups", [(False, 7142, 9358, 1072),
+                                                             (True, 6428, 10072, 3000)])
+def test_sf001_anchors(spark, null_safe, clean, quarantine, dups):
+    from conftest import SF01
+    from tablecare.operators.split import split_summary
+    from tablecare.plans.fixtures import dirty_orders
+
+    spec = ORDERS_SPEC.replace("flag_duplicates", null_safe=null_safe)
+    flagged = spec.apply(dirty_orders(spark, SF01))
+    s = split_summary(flagged, spec.required(), spec.flag()).collect()[0]
+    assert (s.total_rows, s.clean_rows, s.quarantine_rows) == (16500, clean, quarantine)
+    assert flagged.where("duplicate_row").count() == dups
