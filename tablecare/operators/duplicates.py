@@ -120,8 +120,12 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     side = F.broadcast(repeated) if small else repeated
     marked = tagged.join(side, on="__fp", how="left")
 
+    # Rows whose fingerprint is not repeated: never duplicates. The flag is
+    # taken from the join column (NULL here) rather than written as a literal,
+    # so filters on it cannot be folded away and pushed below the join.
     plain = (marked.where(F.col("__cand").isNull())
-                   .select(*[F.col(f"`{c}`") for c in df.columns], F.lit(False).alias(flag)))
+                   .select(*[F.col(f"`{c}`") for c in df.columns],
+                           F.coalesce(F.col("__cand"), F.lit(False)).alias(flag)))
 
     # Exact confirmation among candidates: group on the full key values, join
     # back on fingerprint plus NULL-safe equality of every key (NULL-safe

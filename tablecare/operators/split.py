@@ -39,12 +39,30 @@ def null_check(df: DataFrame, required: Sequence[str], out: str = "missing_requi
     return df.withColumn(out, missing_required(required))
 
 
+def failed_checks(required: Sequence[str], flag: str | None = "duplicate_row") -> Column:
+    """How many checks a row fails (NULL required values, plus the duplicate flag).
+
+    The split filters on this count rather than on the boolean condition. As
+    a conjunction (``a IS NOT NULL AND b IS NOT NULL AND NOT dup``) Catalyst
+    would push each ``IS NOT NULL`` under the cleaning projection and evaluate
+    the cleaning expressions twice (once in the pushed filter, once in the
+    projection); a single count that depends on the duplicate flag stays above
+    the duplicate join, where the cleaned values already exist.
+    """
+    n = F.lit(0)
+    for c in required:
+        n = n + F.col(f"`{c}`").isNull().cast("int")
+    if flag is not None:
+        n = n + F.coalesce(F.col(f"`{flag}`"), F.lit(False)).cast("int")
+    return n
+
+
 def quarantine_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row") -> DataFrame:
-    return df.where(quarantine_condition(required, flag))
+    return df.where(failed_checks(required, flag) > F.lit(0))
 
 
 def clean_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row") -> DataFrame:
-    return df.where(~quarantine_condition(required, flag))
+    return df.where(failed_checks(required, flag) == F.lit(0))
 
 
 def reasons(required: Sequence[str], flag: str | None = "duplicate_row") -> Column:
