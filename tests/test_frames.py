@@ -33,12 +33,12 @@ def test_preserve_and_fill(spark):
 
 
 def test_keyword_search(spark):
-    df = spark.createDataFrame([("upload_blob", "Uploads A BLOB"), ("_private_blob", None),
+    df = spark.createDataFrame([("upload_file", "Uploads A FILE"), ("_private_file", None),
                                 ("other", "nothing")], "name string, doc string")
-    hit = frames.keyword_search(df, "BLOB", ["name", "doc"])
-    assert sorted(r.name for r in hit.collect()) == ["_private_blob", "upload_blob"]
-    public = frames.keyword_search(df, "blob", ["name"], include_private=False, name_column="name")
-    assert [r.name for r in public.collect()] == ["upload_blob"]
+    hit = frames.keyword_search(df, "FILE", ["name", "doc"])
+    assert sorted(r.name for r in hit.collect()) == ["_private_file", "upload_file"]
+    public = frames.keyword_search(df, "file", ["name"], include_private=False, name_column="name")
+    assert [r.name for r in public.collect()] == ["upload_file"]
     with pytest.raises(ValueError, match="invalid search columns"):
         frames.keyword_search(df, "x", ["nope"])
 

@@ -19,8 +19,8 @@ def test_rule_kind_checked():
 
 
 def test_short_name(spark):
-    vals = ["<class 'azure.storage.blob.BlobClient'>", "typing.Optional[typing.Any]",
+    vals = ["<class 'pkg.storage.FileClient'>", "typing.Optional[typing.Any]",
             "a.b.C", "plain", "None", None]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(short_name(F.col("v"))).collect()]
-    assert got == ["BlobClient", "Optional[Any]", "C", "plain", "None", None]
+    assert got == ["FileClient", "Optional[Any]", "C", "plain", "None", None]

@@ -2,12 +2,12 @@ from tablecare.operators.usage import usage_index
 
 
 def test_usage_index_cuts_examples_before_collecting(spark):
-    data = [("blob", "str", f"m{i:02d}") for i in range(30)] + [("blob", "bytes", "m00"),
+    data = [("path", "str", f"m{i:02d}") for i in range(30)] + [("path", "bytes", "m00"),
                                                               ("name", "str", "z"), ("name", None, None)]
     df = spark.createDataFrame(data, "key string, t string, owner string")
     idx = {r.key: r for r in usage_index(df, "key", "t", "owner").collect()}
-    assert idx["blob"].used == 31 and idx["blob"].types == ["bytes", "str"]
-    assert idx["blob"].examples == [f"m{i:02d}" for i in range(11)]
+    assert idx["path"].used == 31 and idx["path"].types == ["bytes", "str"]
+    assert idx["path"].examples == [f"m{i:02d}" for i in range(11)]
     assert idx["name"].used == 2 and idx["name"].types == ["str"] and idx["name"].examples == ["z"]
 
 
