@@ -4,9 +4,9 @@ One run computes the cleaned and tagged table once, while writing the run's
 outputs (split counts are taken by an ``Observation`` during that same write);
 the latest copy, the warehouse load and the report read the run's written
 partitions back (partition-pruned), so the cleaning is never recomputed.
-Actions per run: the duplicate fingerprint set (large inputs only), the run
-outputs, the latest copy, the warehouse load, the profile report and the
-validation: about six, against one job per metric per column before.
+Actions per run: the run outputs, the latest copy, the warehouse load, the
+profile report and the validation (plus the duplicate fingerprint set for
+inputs of more than two waves), against one job per metric per column before.
 """
 
 from __future__ import annotations
