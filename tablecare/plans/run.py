@@ -2,8 +2,9 @@
 
 One run computes the cleaned and tagged table once, while writing the run's
 outputs (split counts are taken by an ``Observation`` during that same write);
-the latest copy, the warehouse load and the report read the run's written
-partitions back (partition-pruned), so the cleaning is never recomputed.
+the latest copy, the warehouse load and the report's after-profile read the
+run's written partitions back (partition-pruned), so the cleaning is never
+recomputed; the report's before-profile is one more aggregate over the input.
 Actions per run: the run outputs, the latest copy, the warehouse load, the
 profile report and the validation (plus the duplicate fingerprint set for
 inputs of more than two waves), against one job per metric per column before.
@@ -63,7 +64,8 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     observed = tagged.observe(obs, F.count(F.lit(1)).alias("total_rows"),
                               F.count_if(F.col("outcome") == F.lit(CLEAN)).alias("clean_rows"),
                               F.count_if(F.col("outcome") == F.lit(QUARANTINE)).alias("quarantine_rows"))
-    # The only pass over the source: the run's outputs, counted while written.
+    # The one pass that computes the cleaning: the run's outputs, counted while
+    # written. (The report's before-profile reads the raw input once more.)
     sinks.write_run(observed, layout.runs, run_id, layout.fmt)
     counts = obs.get
 
