@@ -100,3 +100,11 @@ def test_sf001_anchors(spark, null_safe, clean, quarantine, dups):
     s = split_summary(flagged, spec.required(), spec.flag()).collect()[0]
     assert (s.total_rows, s.clean_rows, s.quarantine_rows) == (16500, clean, quarantine)
     assert flagged.where("duplicate_row").count() == dups
+
+
+def test_steps_table_lists_the_declared_order(spark):
+    from tablecare.plans.spec import steps_table
+
+    t = steps_table(spark, MONSTER_SPEC).orderBy("step_no").collect()
+    assert [r.step for r in t] == MONSTER_SPEC.names()
+    assert t[-1].columns == ["monster_name", "created_date", "danger_level"]
