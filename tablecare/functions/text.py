@@ -63,6 +63,34 @@ def categorize(c: Column | str, rules: Iterable[Rule], default: str = "other",
     return F.when(c.isNull(), F.lit(null_label if null_label is not None else default)).otherwise(expr)
 
 
+# Fixed values that must equal the reference: its return-annotation categories,
+# in order (first hit wins); NULL is "not_annotated", anything else "object".
+ANNOTATION_RULES = (
+    Rule("exact", "None", "void"),
+    Rule("set", ("typing.Self", "Self"), "self"),
+    Rule("set", ("<class 'str'>", "<class 'int'>", "<class 'float'>", "<class 'bool'>",
+                 "<class 'bytes'>"), "primitive"),
+    Rule("contains", "typing.Dict", "dictionary"),
+    Rule("prefix", "Dict[", "dictionary"),
+    Rule("contains", "typing.List", "list"),
+    Rule("prefix", "List[", "list"),
+    Rule("contains", "typing.Tuple", "tuple"),
+    Rule("prefix", "Tuple[", "tuple"),
+    Rule("contains", "typing.Iterator", "iterator"),
+    Rule("prefix", "Iterator[", "iterator"),
+    Rule("contains", "ItemPaged", "paged_collection"),
+    Rule("contains", "typing.Union", "union"),
+    Rule("prefix", "Union[", "union"),
+)
+ANNOTATION_DEFAULT = "object"
+ANNOTATION_NULL = "not_annotated"
+
+
+def categorize_annotation(c: Column | str) -> Column:
+    """The return-annotation categories as one ordered rule list."""
+    return categorize(c, ANNOTATION_RULES, ANNOTATION_DEFAULT, ANNOTATION_NULL)
+
+
 # Fixed values that must equal the reference: the wrapper printed around a
 # class name, and the module prefix of typing names.
 CLASS_OPEN = "<class '"

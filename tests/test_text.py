@@ -24,3 +24,17 @@ def test_short_name(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(short_name(F.col("v"))).collect()]
     assert got == ["FileClient", "Optional[Any]", "C", "plain", "None", None]
+
+
+def test_annotation_categories(spark):
+    from tablecare.functions.text import categorize_annotation
+
+    cases = [(None, "not_annotated"), ("None", "void"), ("Self", "self"),
+             ("<class 'int'>", "primitive"), ("typing.Dict[str, int]", "dictionary"),
+             ("List[str]", "list"), ("typing.Tuple[int, int]", "tuple"),
+             ("Iterator[bytes]", "iterator"), ("ItemPaged[Props]", "paged_collection"),
+             ("typing.Union[str, NoneType]", "union"), ("<class 'pkg.Thing'>", "object"),
+             ("whatever", "object"), ("typing.Optional[typing.List[int]]", "list")]
+    df = spark.createDataFrame([(v,) for v, _ in cases], "v string")
+    got = [r[0] for r in df.select(categorize_annotation(F.col("v"))).collect()]
+    assert got == [want for _, want in cases]
