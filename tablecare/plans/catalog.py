@@ -79,6 +79,15 @@ def q_scan_csv(spark, d):
     return files.read_csv(spark, root, schema=files.string_schema(raw.columns))
 
 
+def q_scan_csv_permissive(spark, d):
+    """Explicit schema, PERMISSIVE mode, ragged lines kept whole in ``_corrupt_record``."""
+    root = fresh_dir(spark, "scan_csv_permissive")
+    raw = dirty_orders(spark, d)
+    raw.write.options(**sinks.CSV_WRITE_OPTIONS).csv(root)
+    return files.read_csv(spark, root, schema=files.string_schema(raw.columns),
+                          corrupt_column="_corrupt_record")
+
+
 def q_scan_csv_infer(spark, d):
     """The source pipeline's scan: header plus type inference (messy columns stay text)."""
     root = fresh_dir(spark, "scan_csv_infer")
@@ -279,6 +288,7 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_csv": q_scan_csv,
     "scan_csv_infer": q_scan_csv_infer,
+    "scan_csv_permissive": q_scan_csv_permissive,
     "read_run": q_read_run,
     "sink_run_csv": q_sink_run_csv,
     "sink_latest_and_runs": q_sink_latest_and_runs,

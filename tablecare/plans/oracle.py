@@ -169,6 +169,8 @@ def build() -> dict[str, str]:
 
     sql["scan_csv"] = f"WITH dirty AS ({DIRTY}) SELECT * FROM dirty"
     sql["scan_csv_infer"] = sql["scan_csv"]
+    sql["scan_csv_permissive"] = (f"WITH dirty AS ({DIRTY}) "
+                                  "SELECT *, NULL::VARCHAR AS _corrupt_record FROM dirty")
     sql["sink_run_csv"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
                            + _runs_table("tagged", [RUN_A, RUN_B]))
     sql["run_summary"] = (chain("s_flag", f"tagged AS ({tagged_sel})") + "\nUNION ALL\n".join(
