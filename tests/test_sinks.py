@@ -47,3 +47,12 @@ def test_warehouse_read_run_prunes_partitions(spark):
     assert (v.clean_rows, v.distinct_types, v.distinct_statuses, v.average_price) == (2, 2, 2, 2.0)
     s = validate_load_sql(spark, spark.read.parquet(root), "r1", "kind", "id", "price").collect()[0]
     assert tuple(s) == tuple(v)
+
+
+def test_validation_sql_binds_the_run_id(spark):
+    table = spark.createDataFrame([("a", "x", 1.0, "it's"), ("b", "y", 3.0, "other")],
+                                  "kind string, status string, price double, run_id string")
+    v = validate_load_sql(spark, table, "it's", "kind", "status", "price").collect()[0]
+    assert (v.clean_rows, v.distinct_types, v.average_price) == (1, 1, 1.0)
+    none = validate_load_sql(spark, table, "x' OR '1'='1", "kind", "status", "price").collect()[0]
+    assert none.clean_rows == 0
