@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tablecare.llm import exact_dedup, packing, token_counts
+from tablecare.llm import (binary_records, decontaminate, exact_dedup, packing, quality_cnn,
+                           token_counts, toxicity)
 from tablecare.llm.common import table
 
 
@@ -20,12 +21,33 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_binary_output(spark, sf_dir):
+    return binary_records.write_and_read(table(spark, sf_dir, "documents"),
+                                         tokenizer("byte_bpe_50k.json"))
+
+
+def op6_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.learn(docs, labels))
+
+
+def op8_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_cnn.score(docs, quality_cnn.learn(docs, labels))
+
+
 def op9_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      tokenizer("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_packing, op4_decontamination, op5_binary_output, op6_toxicity,
+    op8_quality, op9_token_counts)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
