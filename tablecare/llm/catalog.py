@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tablecare.llm import (binary_records, decontaminate, exact_dedup, packing, quality_cnn,
-                           token_counts, toxicity)
+from tablecare.llm import (binary_records, decontaminate, exact_dedup, jaccard_join, packing,
+                           quality_cnn, quotes, secrets, token_counts, toxicity)
 from tablecare.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_quote_linking(spark, sf_dir):
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op4_decontamination(spark, sf_dir):
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,10 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.learn(docs, labels))
 
 
+def op7_secrets(spark, sf_dir):
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_cnn.score(docs, quality_cnn.learn(docs, labels))
@@ -45,9 +53,13 @@ def op9_token_counts(spark, sf_dir):
                                      tokenizer("piece_bpe_32k.model"))
 
 
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_packing, op4_decontamination, op5_binary_output, op6_toxicity,
-    op8_quality, op9_token_counts)}
+    op1_exact_dedup, op2_packing, op3_quote_linking, op4_decontamination, op5_binary_output, op6_toxicity,
+    op7_secrets, op8_quality, op9_token_counts, op10_jaccard_join)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
@@ -56,4 +68,5 @@ ORACLE_SQL = {
         FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         WINDOW same AS (PARTITION BY t)""",
     "op2_packing": packing.oracle(),
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
