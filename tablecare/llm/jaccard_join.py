@@ -289,6 +289,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+def _distinct_lists(signatures: DataFrame) -> DataFrame:
+    """Of signatures with the same members one stays; those with one member go.
+
+    Shingles of one shared passage have the same members. Members are compared
+    by their number and two 64-bit sums of hashes, without collecting them.
+    """
+    lists = signatures.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    chosen = lists.filter("size > 1").groupBy("size", "x", "y").agg(F.min("sig").alias("sig"))
+    return stage(signatures.join(chosen.select("sig"), "sig", "left_semi"), "lists")
+
+
 def _link(signatures: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """(node, comp) of all nodes that link with another one."""
     labels = stage(signatures.select("node").distinct().withColumn("comp", F.col("node")), "nodes")
@@ -376,11 +389,12 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
     still = shared.filter(F.col("shared") >= least).select(
         "node", "n", (F.col("common") >= least).alias("denser"))
     again = again.join(still, ["node", "n"])
-    single = single.union(again.filter("NOT frequent").select("sig", "node", "n"))
+    single = single.unionByName(again.filter("NOT frequent").select("sig", "node", "n"))
     common = (again.filter("frequent AND denser").groupBy("node", "n")
               .agg(F.collect_list("sig").alias("tokens")))        # at most the node's own set
-    signatures = stage(single.union(_combinations(common, bounds)).distinct(), "signatures")
-    labels = _link(signatures, sets, bounds)
+    signatures = stage(
+        single.unionByName(_combinations(common, bounds)).distinct(), "signatures")
+    labels = _link(_distinct_lists(signatures), sets, bounds)
 
     classes = members.groupBy("digest").agg(F.min("doc_id").alias("node"))
     real = lambda c: F.when(F.col(c) != SMALLEST, F.col(c))
