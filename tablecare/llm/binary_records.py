@@ -89,32 +89,58 @@ def records(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
 
 
 class Encoder:
-    """Ids of a text as bytes; words are encoded once and kept."""
+    """Ids of a text as bytes; words are encoded once and kept, in two generations."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocab = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        # tokens that begin with a space: each word of joined words starts with one
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _each(self, units: list[str]) -> dict[str, bytes]:
+        got = self.tokenizer.encode_batch(units, add_special_tokens=False)
+        return {u: np.array(e.ids, dtype=f"<u{self.width}").tobytes() for u, e in zip(units, got)}
+
+    def _joined(self, words: list[str]) -> dict[str, bytes]:
+        """Words that start with a space and hold no other white space, in one go."""
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            ["".join(words)], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) != len(words):
+            return self._each(words)
+        raw, cuts = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
+        return {w: raw[i:j] for w, i, j in zip(words, cuts, cuts[1:])}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = []
         for t in texts:
             first, *rest = UNIT_START.split(t)
             split.append([first, *[" " + u for u in rest]])
-        missing = list({u for units in split for u in units} - self.kept.keys())
-        found = {}
-        for i in range(0, len(missing), 10_000):
-            part = missing[i:i + 10_000]
-            for u, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                found[u] = np.array(e.ids, dtype=f"<u{self.width}").tobytes()
-        if len(self.kept) + len(found) > KEEP_UNITS:
-            found |= {u: self.kept[u] for units in split for u in units if u in self.kept}
-            self.kept = {}
+        units = {u for part in split for u in part}
+        new = units - self.kept.keys()
+        if len(self.kept) + len(new) > KEEP_UNITS // 2:
+            self.older, self.kept, new = self.kept, {}, units
+        found = {u: self.older[u] for u in new & self.older.keys()}
+        words, others = [], []
+        for u in new - found.keys():
+            (words if u[:1] == " " and len(u.split()) == 1 and u[-1:].strip() and len(u) > 1
+             else others).append(u)
+        for i in range(0, len(words), 1000):
+            found |= self._joined(words[i:i + 1000])
+        if others:
+            found |= self._each(others)
         self.kept |= found
-        ids = [b"".join(map(self.kept.__getitem__, units)) for units in split]
-        for u in found:
+        ids = [b"".join(map(self.kept.__getitem__, part)) for part in split]
+        for u in others:
+            if len(u) > KEEP_CHARS:
+                del self.kept[u]
+        for u in words:
             if len(u) > KEEP_CHARS:
                 del self.kept[u]
         return ids
