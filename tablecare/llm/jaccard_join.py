@@ -12,15 +12,17 @@ o(n) = ceil(threshold * n / 100), a linked pair shares at least o(n) tokens.
    A token that is already frequent within one task is sent as a single mark,
    so a hot token does not gather in one place.
 3. A node with fewer shared tokens than the least bound of any partner links
-   with nothing. If its frequent ones alone cannot reach the bound, every link
-   of it shares a rare token: single rare tokens are its signatures.
-4. The other nodes (dense ones: large groups of copies, boilerplate) go through
-   the same classes once more with their whole sets, counted among themselves.
-   Again rare tokens serve singly; nodes whose frequent tokens reach o(n) index
-   combinations of two frequent tokens. Frequent tokens fall into g classes by
-   hash, g + 1 at most the bound, so linked sets share two tokens of one class;
-   g grows with the set size (per size band, each node in its own band and the
-   next), which keeps combinations linear in the set's size.
+   with nothing. The others order their shared tokens rarest first: with
+   ``shared`` tokens and a bound of b, every partner meets the first
+   shared - b + 1. Where these are all rare, they serve as single signatures.
+4. Nodes whose frequent tokens alone reach the bound (dense ones: large groups of
+   copies, boilerplate) go through the same classes once more with their whole
+   sets, counted among themselves. Again rare tokens serve singly; nodes whose
+   frequent tokens still reach o(n) index combinations of two frequent tokens.
+   Frequent tokens fall into g classes by hash and the prefix grows by g tokens, so
+   linked sets share two tokens of one class; g grows with the set size (per size
+   band, each node in its own band and the next), which keeps combinations
+   linear in the set's size. Signatures with the same members count once.
 5. Candidates: a signature's members are compared with one leader, in a few
    rounds with changing leaders; after each round links merge components, and
    only members of different components are compared again. Whatever signature
@@ -55,6 +57,7 @@ SMALLEST = -(1 << 63)                 # stands for a NULL id
 BUCKET_TOKENS = 1_000_000             # tokens of one reduce group, on average
 PACK_TOKENS = 2_000_000               # tokens packed at once by a task
 STAR_ROUNDS = 3
+MANY = 1 << 40                        # order of a token that one task already found frequent
 
 
 # -- shingles ----------------------------------------------------------------
@@ -164,7 +167,10 @@ def _sets_pass(docs: DataFrame, threshold: int) -> DataFrame:
 
 # -- token classes -----------------------------------------------------------
 def _classes(tokens: DataFrame, buckets: int, rare: int) -> DataFrame:
-    """(sig, node, n, frequent) for the tokens that at least two of the rows hold.
+    """(sig, node, n, count, frequent) for the tokens that at least two of the rows hold.
+
+    ``count`` orders tokens the same way everywhere: in how many rows a token is, or
+    MANY where one task alone saw it more than ``rare`` times.
 
     ``tokens`` has one row per node: node, n, tokens (8 bytes each).
     """
@@ -214,7 +220,7 @@ def _classes(tokens: DataFrame, buckets: int, rare: int) -> DataFrame:
         t, own, size = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
                         for name, kind in (("tokens", np.uint64), ("nodes", np.int64), ("sizes", np.int32)))
         if key[0].as_py() < 0:
-            frequent = np.ones(len(t), bool)
+            frequent, c = np.ones(len(t), bool), np.full(len(t), MANY)
         else:
             order = np.argsort(t, kind="stable")
             t, own, size = t[order], own[order], size[order]
@@ -223,36 +229,66 @@ def _classes(tokens: DataFrame, buckets: int, rare: int) -> DataFrame:
             marked = np.add.reduceat((size == 0).astype(np.int64), run) > 0
             frequent = np.repeat((c > rare) | marked, c)
             keep = np.repeat((c > 1), c) & (size > 0)
-            t, own, size, frequent = t[keep], own[keep], size[keep], frequent[keep]
+            c = np.repeat(np.where(marked, MANY, c), c)
+            t, own, size, frequent, c = t[keep], own[keep], size[keep], frequent[keep], c[keep]
         return pa.table({"sig": t.view(np.int64), "node": own, "n": size.astype(np.int64),
-                         "frequent": frequent})
+                         "count": c.astype(np.int64), "frequent": frequent})
 
     return (tokens.select("node", "n", "tokens").mapInArrow(pack, schema).groupBy("key")
-            .applyInArrow(count, "sig long, node long, n long, frequent boolean"))
+            .applyInArrow(count, "sig long, node long, n long, count long, frequent boolean"))
+
+
+def _prefixes(tokens: DataFrame, bound: str) -> DataFrame:
+    """Per node its shared tokens, rarest first, and whether they can reach the bound.
+
+    (node, n, tokens, shared, common, bound): a node with ``shared`` tokens that others hold and
+    needing ``bound`` of them meets every partner within its first shared - bound + 1
+    tokens. The list is at most the node's own set.
+    """
+    return (tokens.groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("count", "sig", "frequent"))).alias("tokens"))
+        .select("node", "n", "tokens", F.size("tokens").alias("shared"),
+                F.size(F.filter("tokens", lambda t: t["frequent"])).alias("common"),
+                F.expr(bound).cast("int").alias("bound"))
+        .filter("shared >= bound"))
 
 
-def _combinations(frequent: DataFrame, bounds: Bounds) -> DataFrame:
-    """Signatures of two frequent tokens of one class; input (node, n, tokens array<long>)."""
+def _singles(prefixes: DataFrame) -> DataFrame:
+    """(sig, node, n): the rare tokens among the first shared - bound + 1."""
+    first = F.expr("slice(tokens, 1, shared - bound + 1)")
+    return (prefixes.select("node", "n", F.explode(first).alias("t")).filter("NOT t.frequent")
+            .select("t.sig", "node", "n"))
+
+
+def _combinations(prefixes: DataFrame, bounds: Bounds) -> DataFrame:
+    """(sig, node, n): pairs of frequent tokens of one class, for nodes with common >= bound.
+
+    With g classes the prefix grows by g tokens, so that linked sets share g + 1
+    tokens of it: a rare one, or two frequent ones of one class.
+    """
     ratio = 100 / bounds.t
 
     def band(n: int) -> int:
         return int(np.floor(np.log(n) / np.log(ratio) + 1e-9)) if n > 1 and ratio > 1 else 0
 
-    def floor_of(z: int) -> int:
-        """No set of band z or the band below is smaller than this."""
-        return max(1, int(np.ceil(ratio ** (z - 1) - 1e-6)))
+    def classes(z: int) -> int:
+        """Classes of band z: below the least bound of any set of this band or the one below."""
+        floor = max(1, int(np.ceil(ratio ** (z - 1) - 1e-6)))
+        least = int(bounds.least(floor))
+        return min(least - 1, max(1, least // 6))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for node, n, toks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                t = np.sort(np.array(toks.values.to_numpy(zero_copy_only=False)).view(np.uint64))
+            for node, n, slack, toks in zip(*[b.column(i).to_pylist() for i in range(3)], b.column(3)):
+                ordered = toks.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 sigs = []
                 for z in (band(n), band(n) + 1):
-                    g = int(bounds.least(floor_of(z))) - 1
+                    g = classes(z)
                     seed = _mix(np.array([z + 1], np.uint64))[0]
                     if g < 1:                        # no combination is guaranteed: single tokens
-                        sigs.append(_mix(t ^ seed))
+                        sigs.append(_mix(ordered ^ seed))
                         continue
+                    t = np.sort(ordered[:slack + g])
                     cls = _mix(t + np.uint64(77)) % np.uint64(g)
                     order = np.argsort(cls, kind="stable")
                     u, cls = t[order], cls[order]
@@ -267,7 +303,11 @@ def _combinations(frequent: DataFrame, bounds: Bounds) -> DataFrame:
                         [pa.array(sigs.view(np.int64)), pa.array(np.full(len(sigs), node, np.int64)),
                          pa.array(np.full(len(sigs), n, np.int64))], names=["sig", "node", "n"])
 
-    return frequent.mapInArrow(run, "sig long, node long, n long")
+    frequent = F.transform(F.filter("tokens", lambda t: t["frequent"]), lambda t: t["sig"])
+    return (prefixes.filter("common >= bound")
+            .select("node", "n", F.expr("shared - bound + 1 - (shared - common)").alias("slack"),
+                    frequent.alias("tokens"))
+            .mapInArrow(run, "sig long, node long, n long"))
 
 
 # -- verification ------------------------------------------------------------
@@ -357,14 +397,9 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
     nodes = (told.filter("n > 0").groupBy("digest")
              .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
                   F.first("prefix").alias("tokens")))
-    seen = stage(_classes(nodes, buckets, rare), "tokens")
-    shared = seen.groupBy("node", "n").agg(
-        F.count(F.lit(1)).alias("shared"), F.count_if("frequent").alias("common"))
-    bound = F.expr(bounds.extra_col(bounds.least_col("n")))
-    alive = stage(shared.filter(F.col("shared") >= bound)
-                  .select("node", "n", (F.col("common") >= bound).alias("dense")), "alive")
-    single = (seen.filter("NOT frequent").select("sig", "node", "n")
-              .join(alive.select("node", "n"), ["node", "n"], "left_semi"))
+    alive = stage(_prefixes(_classes(nodes, buckets, rare),
+                            bounds.extra_col(bounds.least_col("n"))), "prefixes")
+    single = _singles(alive)
 
     # whole sets of the nodes that may link
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,23 +412,15 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["node", "n", "dense", "tokens"])
 
-    ids = alive.groupBy("node").agg(F.max("dense").alias("dense"))
+    ids = alive.groupBy("node").agg(F.max(F.expr("common >= bound")).alias("dense"))
     sets = stage(rows.join(ids, rows["doc_id"] == ids["node"]).select("node", "text", "dense")
                  .mapInArrow(whole, "node long, n long, dense boolean, tokens binary"), "sets")
 
     # dense nodes: classes among themselves, over whole sets
-    again = stage(_classes(sets.filter("dense"), buckets, rare), "dense")
-    shared = again.groupBy("node", "n").agg(
-        F.count(F.lit(1)).alias("shared"), F.count_if("frequent").alias("common"))
-    least = F.expr(bounds.least_col("n"))
-    still = shared.filter(F.col("shared") >= least).select(
-        "node", "n", (F.col("common") >= least).alias("denser"))
-    again = again.join(still, ["node", "n"])
-    single = single.unionByName(again.filter("NOT frequent").select("sig", "node", "n"))
-    common = (again.filter("frequent AND denser").groupBy("node", "n")
-              .agg(F.collect_list("sig").alias("tokens")))        # at most the node's own set
-    signatures = stage(
-        single.unionByName(_combinations(common, bounds)).distinct(), "signatures")
+    again = stage(_prefixes(_classes(sets.filter("dense"), buckets, rare), bounds.least_col("n")),
+                  "dense")
+    signatures = stage(single.unionByName(_singles(again)).unionByName(
+        _combinations(again, bounds)).distinct(), "signatures")
     labels = _link(_distinct_lists(signatures), sets, bounds)
 
     classes = members.groupBy("digest").agg(F.min("doc_id").alias("node"))
