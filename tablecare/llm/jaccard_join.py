@@ -27,8 +27,9 @@ o(n) = ceil(threshold * n / 100), a linked pair shares at least o(n) tokens.
    rounds with changing leaders; after each round links merge components, and
    only members of different components are compared again. Whatever signature
    still holds several components after that has all its remaining pairs of
-   different components compared, so no link between components is lost, and a
-   group of k copies costs about k comparisons.
+   different components compared, so no link between components is lost: short
+   lists by a join, long overlapping ones as one block of nodes, whose tiles are
+   compared with each other (a pair then is looked at once, not once per list).
 6. Every candidate is verified by its true intersection.
 
 Hashes have 64 bits; two different shingles of one pair agree with a chance of
@@ -57,6 +58,8 @@ SMALLEST = -(1 << 63)                 # stands for a NULL id
 BUCKET_TOKENS = 1_000_000             # tokens of one reduce group, on average
 PACK_TOKENS = 2_000_000               # tokens packed at once by a task
 STAR_ROUNDS = 3
+LARGE_LIST = 64                       # longer lists may form blocks
+TILE = 192                            # nodes of one tile
 MANY = 1 << 40                        # order of a token that one task already found frequent
 
 
@@ -342,6 +345,71 @@ def _distinct_lists(signatures: DataFrame) -> DataFrame:
     return stage(signatures.join(chosen.select("sig"), "sig", "left_semi"), "lists")
 
 
+def _blocks(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the open signatures: (block, node, comp) for tiles, and the lists to join one by one.
+
+    Large lists that overlap form a block of their nodes. Comparing a block's nodes
+    with each other costs its size squared, joining its lists one by one the sum of
+    their sizes squared; the cheaper way is taken, both compare the same pairs.
+    """
+    sized = stage(left.join(left.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("first")), "sig"), "open")
+    large = sized.filter(F.col("size") > LARGE_LIST)
+    if not large.limit(1).count():
+        return large.select(F.col("node").alias("block"), "node", "comp"), sized
+    edges = large.filter("node <> first").select(
+        F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    of = components(edges).withColumnRenamed("comp", "block")
+    placed = large.join(of, "node")
+    nodes = placed.select("block", "node", "comp").distinct()
+    cost = (placed.groupBy("block").agg(F.sum("size").alias("by_list"))
+            .join(nodes.groupBy("block").agg(F.count(F.lit(1)).alias("k")), "block")
+            .filter("double(k) * k <= by_list"))
+    dense = stage(cost.select("block"), "blocks")
+    lists = placed.join(dense, "block", "left_anti").select(*sized.columns)
+    return (stage(nodes.join(dense, "block", "left_semi"), "block-nodes"),
+            sized.filter(F.col("size") <= LARGE_LIST).unionByName(lists))
+
+
+def _block_links(blocks: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between different components of a block, tile by tile.
+
+    A block's nodes are dealt into tiles of about ``TILE`` nodes; every pair of tiles
+    is one group of at most two tiles, compared by counting shared tokens.
+    """
+    counts = blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    dealt = (blocks.join(counts, "block")
+             .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+             .select("block", F.least("tile", "other").alias("low"),
+                     F.greatest("tile", "other").alias("high"), "tile", "node", "comp"))
+    filled = dealt.join(sets.select("node", "tokens"), "node")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        tile, node, comp = (table.column(c).to_numpy() for c in ("tile", "node", "comp"))
+        toks = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("tokens")]
+        size = np.array([len(t) for t in toks], np.int64)
+        rows = np.repeat(np.arange(len(toks)), size)
+        _, code = np.unique(np.concatenate(toks), return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        rows, code = rows[order], code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        width = np.diff(np.append(first, len(code)))
+        shared = np.zeros((len(toks), len(toks)), np.int32)
+        for at, w in zip(first[width > 1], width[width > 1]):      # holders of one token
+            held = rows[at:at + w]
+            shared[np.ix_(held, held)] += 1
+        union = size[:, None] + size[None, :] - shared
+        good = (100 * shared >= threshold * union) & (comp[:, None] != comp[None, :])
+        good &= (tile[:, None] == low) & (tile[None, :] == high)
+        i, j = np.nonzero(good)
+        return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+
+    return filled.select("block", "low", "high", "tile", "node", "comp", "tokens").groupBy(
+        "block", "low", "high").applyInArrow(compare, "a long, b long")
+
+
 def _link(signatures: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """(node, comp) of all nodes that link with another one."""
     labels = stage(signatures.select("node").distinct().withColumn("comp", F.col("node")), "nodes")
@@ -360,6 +428,7 @@ def _link(signatures: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
                 F.col("n").alias("y_n"), F.col("comp").alias("y_comp"))
         else:                                        # all that is left
             left = now.join(spans.select("sig"), "sig")
+            blocks, left = _blocks(left)
             found = (left.select("sig", *[F.col(c).alias(f"x{s}") for c, s in
                                           (("node", ""), ("n", "_n"), ("comp", "_comp"))])
                      .join(left.select("sig", *[F.col(c).alias(f"y{s}") for c, s in
@@ -371,7 +440,10 @@ def _link(signatures: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        links = stage(_verified(pairs, sets, bounds.t), "links")
+        links = _verified(pairs, sets, bounds.t)
+        if turn == STAR_ROUNDS:
+            links = links.unionByName(_block_links(blocks, sets, bounds.t)).distinct()
+        links = stage(links, "links")
         if links.limit(1).count():
             # between components of the last round
             ends = [labels.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp")) for c in "ab"]
