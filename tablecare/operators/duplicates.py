@@ -143,42 +143,19 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     return plain.unionByName(confirmed)
 
 
-# Inputs of at most this many waves of tasks take the join method.
-JOIN_MAX_WAVES = 2
-
-
-def choose_method(df: DataFrame) -> str:
-    """``join`` when the input fits in a couple of waves of tasks, else ``fingerprint``.
-
-    For an input that few partitions cover, shuffling whole rows twice is
-    cheaper than the fingerprint's extra passes over the input; beyond that,
-    shuffle volume dominates and the fingerprint keeps most rows out of the
-    shuffle. (On 4,000 cores two waves of 128 MB splits is about 1 TB.)
-    """
-    from tablecare.session import default_parallelism, partitions
-
-    have = partitions(df)
-    if have is None:
-        return "fingerprint"
-    waves = have / max(1, default_parallelism(df.sparkSession))
-    return "join" if waves <= JOIN_MAX_WAVES else "fingerprint"
-
-
 def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None,
                     flag: str = DEFAULT_FLAG, null_safe: bool = False,
-                    method: str = "auto",
+                    method: str = "join",
                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every row of ``df`` once, plus a non-NULL boolean ``flag`` column.
 
-    ``keys`` defaults to all columns. ``method`` is ``fingerprint``, ``join``
-    or ``auto`` (see ``choose_method``); all give the same rows. See the
-    module notes.
+    ``keys`` defaults to all columns. ``method`` is ``join`` (lazy, the
+    same plan at every size) or ``fingerprint`` (one eager pass, then narrow
+    shuffles); both give the same rows. See the module notes.
     """
     keys = _keys(df, keys)
     if flag in df.columns:
         raise ValueError(f"flag column {flag!r} already exists")
-    if method == "auto":
-        method = choose_method(df)
     if method == "join":
         return _flag_by_join(df, keys, flag, null_safe)
     if method == "fingerprint":

@@ -44,7 +44,10 @@ def map_columns(df: DataFrame, columns: Iterable[str],
     missing = wanted - set(df.columns)
     if missing:
         raise ValueError(f"unknown columns: {sorted(missing)}")
-    return df.select(*[fn(F.col(c)).alias(c) if c in wanted else F.col(c) for c in df.columns])
+    def named(c: str) -> Column:
+        return F.col("`" + c.replace("`", "``") + "`")
+
+    return df.select(*[fn(named(c)).alias(c) if c in wanted else named(c) for c in df.columns])
 
 
 def trim_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -123,15 +126,16 @@ def named_map(df: DataFrame, group_cols: Sequence[str], name_col: str, value_col
               order_col: str, out: str = "named") -> DataFrame:
     """Per group, a map from each name to its value; a repeated name keeps the last.
 
-    "Last" is the row with the greatest ``order_col``. The last value per
-    (group, name) is taken with ``max_by`` (partial aggregation on the map side,
+    "Last" is the row with the greatest ``order_col`` (NULL comes first, ties go to
+    the greatest value). The last value per (group, name) is one maximum (partial aggregation on the map side,
     so a hot group is combined before the shuffle); the map is then built from
     one entry per distinct name, so it is bounded by the name vocabulary, not by
     the rows of the group. Rows with a NULL name carry no entry.
     """
     last = (df.where(F.col(name_col).isNotNull())
               .groupBy(*group_cols, name_col)
-              .agg(F.max_by(F.col(value_col), F.col(order_col)).alias("__v")))
+              .agg(F.max(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v")))["v"]
+                   .alias("__v")))
     return (last.groupBy(*group_cols)
                 .agg(F.map_from_entries(
                     F.array_sort(F.collect_list(F.struct(F.col(name_col).alias("key"),

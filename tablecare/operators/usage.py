@@ -1,7 +1,8 @@
 """Usage index: per key, how often it is used, with which types, by whom.
 
-Output per key: ``used`` (rows), ``types`` (sorted distinct types) and
-``examples`` (the first ``max_examples`` distinct owners in ascending order).
+Output per key: ``used`` (rows), ``types`` (sorted distinct types),
+``examples`` (the first ``max_examples`` distinct owners in ascending order) and
+``more`` (the exact number of distinct owners that are not listed).
 
 Scale notes:
 
@@ -21,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: the published index never lists more than 11 example owners.
-MAX_EXAMPLES = 11
+# Fixed value: the index lists 10 owners; ``more`` counts those left out.
+MAX_EXAMPLES = 10
 
 
 def _first_per_key(pairs: DataFrame, value: str, k: int) -> DataFrame:
@@ -54,12 +55,16 @@ def usage_index(df: DataFrame, key: str, type_col: str, owner: str,
     pairs_o = (df.where(k.isNotNull() & F.col(f"`{owner}`").isNotNull())
                  .select(k.alias("key"), F.col(f"`{owner}`").alias("o")).distinct())
     firsts = _first_per_key(pairs_o, "o", max_examples)
-    examples = firsts.groupBy("key").agg(F.array_sort(F.collect_list("o")).alias("examples"))
+    owners = pairs_o.groupBy("key").agg(F.count(F.lit(1)).alias("owners"))
+    examples = (firsts.groupBy("key").agg(F.array_sort(F.collect_list("o")).alias("examples"))
+                .join(owners, "key"))
 
     return (used.join(types, "key", "left").join(examples, "key", "left")
                .select("key", "used",
                        F.coalesce("types", F.array().cast(types.schema["types"].dataType)).alias("types"),
                        F.coalesce("examples", F.array().cast(examples.schema["examples"].dataType))
                         .alias("examples"),
+                       (F.coalesce("owners", F.lit(0)) - F.coalesce(F.size("examples"), F.lit(0)))
+                        .cast("bigint").alias("more"),
                        *([F.coalesce("type_count", F.lit(0).cast("bigint")).alias("type_count")]
                          if max_types is not None else [])))

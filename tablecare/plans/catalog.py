@@ -132,7 +132,7 @@ def _warehouse(spark, d) -> str:
 
 
 def q_sink_warehouse(spark, d):
-    return spark.read.parquet(_warehouse(spark, d))
+    return files.read_runs(spark, _warehouse(spark, d))
 
 
 def q_read_run(spark, d):
@@ -140,12 +140,12 @@ def q_read_run(spark, d):
 
 
 def q_validate_load(spark, d):
-    table = spark.read.parquet(_warehouse(spark, d))
+    table = files.read_runs(spark, _warehouse(spark, d))
     return validate.validate_load(table, RUN_A, "order_type", "status", "base_price")
 
 
 def q_validate_load_sql(spark, d):
-    table = spark.read.parquet(_warehouse(spark, d))
+    table = files.read_runs(spark, _warehouse(spark, d))
     return validate.validate_load_sql(spark, table, RUN_B, "order_type", "status", "base_price")
 
 
@@ -255,7 +255,7 @@ def q_usage_index(spark, d):
     idx = usage.usage_index(read_table(spark, d, "events"), "event_type", "props", "user_id")
     return idx.select("key", "used", F.array_join("types", "|").alias("types"),
                       F.array_join(F.transform("examples", lambda x: x.cast("string")), ",")
-                       .alias("examples"))
+                       .alias("examples"), "more")
 
 
 def q_categorize(spark, d):

@@ -271,9 +271,10 @@ def build() -> dict[str, str]:
         "o AS (SELECT DISTINCT event_type AS key, user_id AS o FROM events "
         "WHERE event_type IS NOT NULL AND user_id IS NOT NULL),\n"
         "r AS (SELECT key, o, row_number() OVER (PARTITION BY key ORDER BY o) AS rn FROM o),\n"
-        "e AS (SELECT key, string_agg(o::VARCHAR, ',' ORDER BY o) AS examples FROM r WHERE rn <= 11 "
+        "e AS (SELECT key, string_agg(o::VARCHAR, ',' ORDER BY o) AS examples FROM r WHERE rn <= 10 "
         "GROUP BY key)\n"
-        "SELECT u.key, u.used, coalesce(t.types, '') AS types, coalesce(e.examples, '') AS examples "
+        "SELECT u.key, u.used, coalesce(t.types, '') AS types, coalesce(e.examples, '') AS examples, "
+        "(SELECT greatest(count(*) - 10, 0) FROM o WHERE o.key = u.key) AS more "
         "FROM u LEFT JOIN t ON u.key = t.key LEFT JOIN e ON u.key = e.key")
     sql["categorize"] = f"SELECT page_id, url, {_rule_sql('url', URL_RULES, 'plain')} AS category FROM pages"
     sql["categorize_parts"] = (f"SELECT p_partkey, p_type, {_rule_sql('p_type', PART_RULES, 'other')} "

@@ -22,6 +22,7 @@ from tablecare.operators.split import CLEAN, QUARANTINE, with_outcome
 from tablecare.operators.validate import validate_load
 from tablecare.plans.spec import Spec
 from tablecare.sources import sinks
+from tablecare.sources.files import read_runs
 
 
 @dataclass(frozen=True)
@@ -76,11 +77,10 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     clean = written.where(F.col("outcome") == F.lit(CLEAN)).drop("outcome", "run_id")
     sinks.load_warehouse(clean, layout.warehouse, run_id)
     if report:
-        diff = profile_diff(raw, clean).withColumn("run_id", F.lit(run_id))
-        diff.write.mode("overwrite").partitionBy("run_id").option(
-            "partitionOverwriteMode", "dynamic").parquet(layout.reports)
+        diff = profile_diff(raw, clean)
+        diff.write.mode("overwrite").parquet(sinks.run_folder(layout.reports, run_id))
 
-    table = spark.read.parquet(layout.warehouse)
+    table = read_runs(spark, layout.warehouse)
     checked = validate_load(table, run_id, type_col, status_col, price_col)
     return checked.select(
         F.lit(run_id).alias("run_id"),

@@ -48,22 +48,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "0") or 0) or int(
-        spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def partitions(df) -> int | None:
-    """Number of partitions of a DataFrame's plan, or None when not available."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view on Spark Connect
-        return None
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by all executors (``spark.checkpoint.dir``).
 
@@ -75,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
         # getCheckpointDir() returns <dir>/<uuid>; keep its parent
         path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
+        if sc is None or not sc.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tablecare-")
         spark.conf.set(CHECKPOINT_KEY, path)
     if sc is not None and not sc.getCheckpointDir():

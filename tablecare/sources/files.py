@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tablecare.session import default_parallelism, partitions
-
 CSV_OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",          # a leading byte-order mark is dropped from the first header
@@ -17,24 +15,13 @@ CSV_OPTIONS = {
 }
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an under-split scan at least one partition per core.
-
-    A file that cannot be split (one row group, one gzip stream) is read by a
-    single task, and every narrow step after it runs on one core. When the scan
-    has fewer partitions than the session's parallelism, rows are dealt
-    round-robin to that many partitions. Large inputs already have more splits
-    than cores, so for them this is a no-op and adds no shuffle.
-    """
-    target = min_partitions or default_parallelism(df.sparkSession)
-    have = partitions(df)
-    if have is None or have >= target:
-        return df
-    return df.repartition(target)
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows to ``partitions`` tasks, only where asked for (one file that cannot be split)."""
+    return df if partitions is None else df.repartition(partitions)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def string_schema(columns: list[str]) -> StructType:
@@ -63,6 +50,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+def read_runs(spark: SparkSession, root: str, fmt: str = "parquet",
+              schema: StructType | None = None) -> DataFrame:
+    """A table partitioned by ``run_id``; run ids are strings, never guessed to be numbers or dates."""
+    def reader():
+        r = spark.read.format(fmt)
+        return r.options(**CSV_OPTIONS) if fmt == "csv" else r
+
+    fields = (schema or reader().load(root).schema).fields
+    text = StructType([f for f in fields if f.name != "run_id"]
+                      + [StructField("run_id", StringType(), True)])
+    return reader().schema(text).load(root)
+
+
 def read_run(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
              schema: StructType | None = None) -> DataFrame:
     """Rows of one run from a table partitioned by ``run_id``.
@@ -70,9 +70,4 @@ def read_run(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
     The equality on the partition column prunes directories before any file
     is opened.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(root).where(F.col("run_id") == F.lit(run_id))
+    return read_runs(spark, root, fmt, schema).where(F.col("run_id") == F.lit(run_id))

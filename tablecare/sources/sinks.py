@@ -1,7 +1,7 @@
 """Sinks: run-partitioned outputs, the "latest" copy, the warehouse table.
 
-Every write is idempotent per run: the run's partition is replaced
-(``partitionOverwriteMode=dynamic``), other runs are left alone, and writing the
+Every write is idempotent per run: the run's folder (``run_id`` is the outermost
+partition) is replaced as a whole, other runs are left alone, and writing the
 same run twice leaves one copy. Outputs are written by the executors straight
 to the target file system (any Hadoop URI); nothing passes through the driver.
 """
@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tablecare.sources.files import CSV_OPTIONS
+from tablecare.sources.files import CSV_OPTIONS, read_runs
+
+# Fixed value: characters that partition paths escape.
+PATH_SPECIAL = "\"#%'*/:=?\\{[]^\x7f"
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -27,11 +30,14 @@ CSV_WRITE_OPTIONS = {
 def _writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str] = (),
             dynamic: bool = True):
     w = df.write.format(fmt).mode(mode)
+    if not dynamic:
+        w = w.option("partitionOverwriteMode", "static")
     if fmt == "csv":
         w = w.options(**CSV_WRITE_OPTIONS)
     if partition_by:
         w = w.partitionBy(*partition_by)
-        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
     return w
 
 
@@ -49,16 +55,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def run_folder(root: str, run_id: str) -> str:
+    """Folder of one run; special characters are escaped the way Spark reads them back."""
+    name = "".join(f"%{ord(c):02X}" if c < " " or c in PATH_SPECIAL else c for c in run_id)
+    return f"{root}/run_id={name}"
+
+
 def write_run(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv",
-              partition_by: Sequence[str] = ("outcome", "run_id")) -> str:
+              partition_by: Sequence[str] = ("outcome",)) -> str:
     """Write clean and quarantine rows of one run in a single pass.
 
     ``tagged`` carries an ``outcome`` column; rows land under
-    ``outcome=<clean|quarantine>/run_id=<run>/``. Rewriting the same run
-    replaces only its own partitions.
+    ``run_id=<run>/outcome=<clean|quarantine>/``. The run's folder is replaced as a
+    whole, so an outcome without rows leaves nothing of an earlier run behind.
     """
-    stamped = tagged.withColumn("run_id", F.lit(run_id).cast("string"))
-    _writer(stamped, fmt, "overwrite", partition_by).save(root)
+    _writer(tagged.drop("run_id"), fmt, "overwrite", partition_by, dynamic=False).save(run_folder(root, run_id))
     return root
 
 
@@ -95,10 +106,10 @@ def read_outputs(spark: SparkSession, root: str, fmt: str = "csv", schema=None,
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
         if schema is not None:
-            fields = [f for f in schema.fields if f.name != "run_id"]
-            fields.append(StructField("run_id", StringType(), True))
-            reader = reader.schema(StructType([f for f in fields if f.name not in partition_cols]))
-    return reader.load(root)
+            fields = [f for f in schema.fields if f.name != "run_id" and f.name not in partition_cols]
+            text = [StructField(c, StringType(), True) for c in dict.fromkeys([*partition_cols, "run_id"])]
+            return reader.schema(StructType(fields + text)).load(root)
+    return read_runs(spark, root, fmt, schema)
 
 
 def load_warehouse(df: DataFrame, root: str, run_id: str, fmt: str = "parquet") -> str:
@@ -107,8 +118,7 @@ def load_warehouse(df: DataFrame, root: str, run_id: str, fmt: str = "parquet")
     Replaces that run's partition (a retried or repeated load cannot double a
     run, unlike append-and-retry).
     """
-    stamped = df.withColumn("run_id", F.lit(run_id).cast("string"))
-    _writer(stamped, fmt, "overwrite", ("run_id",)).save(root)
+    _writer(df.drop("run_id"), fmt, "overwrite", (), dynamic=False).save(run_folder(root, run_id))
     return root
 
 

@@ -52,16 +52,3 @@ def test_hot_group_of_copies(spark):
 def test_flag_property(spark, data, null_safe):
     df = spark.createDataFrame(data, SCHEMA)
     assert rows(flag_duplicates(df, null_safe=null_safe)) == brute(data, null_safe)
-
-
-def test_auto_method_by_waves(spark):
-    from tablecare.operators.duplicates import choose_method
-
-    par = spark.sparkContext.defaultParallelism
-    small = spark.range(100).repartition(par)
-    big = spark.range(100).repartition(par * 3)
-    assert choose_method(small) == "join"
-    assert choose_method(big) == "fingerprint"
-    data = [(i % 7, i % 3) for i in range(60)]
-    df = spark.createDataFrame(data, "a int, b int").repartition(par * 3)
-    assert rows(flag_duplicates(df)) == brute([(a, b) for a, b in data], False)

@@ -56,3 +56,24 @@ def test_validation_sql_binds_the_run_id(spark):
     assert (v.clean_rows, v.distinct_types, v.average_price) == (1, 1, 1.0)
     none = validate_load_sql(spark, table, "x' OR '1'='1", "kind", "status", "price").collect()[0]
     assert none.clean_rows == 0
+
+
+def test_rerun_without_an_outcome_leaves_nothing_behind(spark):
+    root = fresh_dir(spark, "rerun")
+    rows = spark.createDataFrame([(1, "clean"), (2, "quarantine")], "id int, outcome string")
+    sinks.write_run(rows, root, "r1", "parquet")
+    sinks.write_run(rows, root, "r2", "parquet")
+    sinks.write_run(rows.filter("id = 1"), root, "r1", "parquet")
+    got = sorted((r["run_id"], r["outcome"]) for r in sinks.read_outputs(spark, root, "parquet").collect())
+    assert got == [("r1", "clean"), ("r2", "clean"), ("r2", "quarantine")]
+    house = fresh_dir(spark, "house")
+    sinks.load_warehouse(rows, house, "r1")
+    sinks.load_warehouse(rows.limit(0), house, "r1")
+    assert read_run(spark, house, "r1").count() == 0
+
+
+def test_run_ids_are_strings(spark):
+    house = fresh_dir(spark, "ids")
+    for i, run in enumerate(["007", "7", "2026-07-11", "20260711_164412", "a=b/c"]):
+        sinks.load_warehouse(spark.createDataFrame([(i,)], "id int"), house, run)
+        assert [r["id"] for r in read_run(spark, house, run).collect()] == [i]

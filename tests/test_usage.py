@@ -7,8 +7,8 @@ def test_usage_index_cuts_examples_before_collecting(spark):
     df = spark.createDataFrame(data, "key string, t string, owner string")
     idx = {r.key: r for r in usage_index(df, "key", "t", "owner").collect()}
     assert idx["path"].used == 31 and idx["path"].types == ["bytes", "str"]
-    assert idx["path"].examples == [f"m{i:02d}" for i in range(11)]
-    assert idx["name"].used == 2 and idx["name"].types == ["str"] and idx["name"].examples == ["z"]
+    assert idx["path"].examples == [f"m{i:02d}" for i in range(10)] and idx["path"].more == 20
+    assert idx["name"].used == 2 and idx["name"].types == ["str"] and idx["name"].examples == ["z"] and idx["name"].more == 0
 
 
 def test_usage_index_plan_limits_per_key_before_shuffle(spark):
