@@ -36,22 +36,25 @@ SLICE = BLOCK * HOP_BLOCKS * 512      # bytes worked on at once
 
 
 def padded(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array, each ended by zero bytes up to whole chunks; blocks per text."""
+    """All texts in one array, each ended by zero bytes up to whole chunks; blocks per text.
+
+    One more block of zeros follows each text, so that no filter reaches the next one.
+    """
     sizes = [(len(t) + width - 1 + BLOCK - 1) // BLOCK for t in texts]
     blocks = np.array([CHUNK_BLOCKS + HOP_BLOCKS * max(0, -(-(s - CHUNK_BLOCKS) // HOP_BLOCKS))
                        for s in sizes])
-    out = np.zeros(int(blocks.sum()) * BLOCK + width, np.uint8)
+    out = np.zeros(int((blocks + 1).sum()) * BLOCK + width, np.uint8)
     at = 0
     for t, n in zip(texts, blocks):
         out[at:at + len(t)] = np.frombuffer(t, np.uint8)
-        at += n * BLOCK
+        at += (n + 1) * BLOCK
     return out, blocks
 
 
 def chunk_starts(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First block of every chunk, and the number of chunks of every text."""
     chunks = (blocks - CHUNK_BLOCKS) // HOP_BLOCKS + 1
-    first = np.repeat(np.cumsum(blocks) - blocks, chunks)
+    first = np.repeat(np.cumsum(blocks + 1) - (blocks + 1), chunks)
     nth = np.arange(chunks.sum()) - np.repeat(np.cumsum(chunks) - chunks, chunks)
     return first + nth * HOP_BLOCKS, chunks
 
@@ -135,7 +138,9 @@ class Network:
         dpool = dh @ p["v"].T
         doc = np.repeat(np.arange(len(texts)), chunks)
         f = self.filters
-        dtop = (dpool[:, :f] / chunks[:, None])[doc] + dpool[doc, f:] * (top == most[doc])
+        equal = (top == most[doc]).astype(np.float32)          # chunks that share the maximum
+        dtop = (dpool[:, :f] / chunks[:, None])[doc] + (
+            dpool[:, f:] / np.add.reduceat(equal, edges))[doc] * equal
         dtop *= top > 0
         dk = np.zeros_like(p["k"])
         filters = np.broadcast_to(np.arange(f), place.shape)
