@@ -1,13 +1,11 @@
 """End-to-end run: clean, split, write every output, load, validate, summarise.
 
-One run computes the cleaned and tagged table once, while writing the run's
-outputs (split counts are taken by an ``Observation`` during that same write);
-the latest copy, the warehouse load and the report's after-profile read the
-run's written partitions back (partition-pruned), so the cleaning is never
-recomputed; the report's before-profile is one more aggregate over the input.
-Actions per run: the run outputs, the latest copy, the warehouse load, the
-profile report and the validation (plus the duplicate fingerprint set for
-inputs of more than two waves), against one job per metric per column before.
+One run computes the cleaned and tagged table once, into a staged Parquet table
+in the shared folder (split counts are taken by an ``Observation`` during that
+write). The run outputs, the latest copy, the warehouse load and the report's
+after-profile read the staged table: nothing is recomputed, and CSV is an export
+only. The staged files are deleted when the run ends. The report's
+before-profile is one more aggregate over the input.
 """
 
 from __future__ import annotations
@@ -56,7 +54,8 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     """Run the whole cleaning job for one run id and return a one-row summary.
 
     Re-running the same ``run_id`` replaces that run everywhere (outputs,
-    warehouse, report) and leaves other runs alone.
+    warehouse, report) and leaves other runs alone. A load that does not hold
+    the run's clean rows raises.
     """
     required, flag = spec.required(), spec.flag()
     spark = raw.sparkSession
@@ -65,24 +64,21 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     observed = tagged.observe(obs, F.count(F.lit(1)).alias("total_rows"),
                               F.count_if(F.col("outcome") == F.lit(CLEAN)).alias("clean_rows"),
                               F.count_if(F.col("outcome") == F.lit(QUARANTINE)).alias("quarantine_rows"))
-    # The one pass that computes the cleaning: the run's outputs, counted while
-    # written. (The report's before-profile reads the raw input once more.)
-    sinks.write_run(observed, layout.runs, run_id, layout.fmt)
-    counts = obs.get
-
-    # Everything else reads this run's written partitions (pruned to the run).
-    written = (sinks.read_outputs(spark, layout.runs, layout.fmt, tagged.schema)
-                    .where(F.col("run_id") == F.lit(run_id)))
-    sinks.write_latest(written, layout.latest, layout.fmt)
-    clean = written.where(F.col("outcome") == F.lit(CLEAN)).drop("outcome", "run_id")
-    sinks.load_warehouse(clean, layout.warehouse, run_id)
-    if report:
-        diff = profile_diff(raw, clean)
-        diff.write.mode("overwrite").parquet(sinks.run_folder(layout.reports, run_id))
+    # The one pass that computes the cleaning, counted while it is written. (The
+    # report's before-profile reads the raw input once more.)
+    with sinks.staged(observed, "run") as rows:
+        counts = obs.get
+        sinks.write_run(rows, layout.runs, run_id, layout.fmt)
+        sinks.write_latest(sinks.with_run_id(rows, run_id), layout.latest, layout.fmt)
+        clean = rows.where(F.col("outcome") == F.lit(CLEAN)).drop("outcome", "run_id")
+        sinks.load_warehouse(clean, layout.warehouse, run_id)
+        if report:
+            diff = profile_diff(raw, clean)
+            diff.write.mode("overwrite").parquet(sinks.run_folder(layout.reports, run_id))
 
     table = read_runs(spark, layout.warehouse)
     checked = validate_load(table, run_id, type_col, status_col, price_col)
-    return checked.select(
+    summary = checked.select(
         F.lit(run_id).alias("run_id"),
         F.lit(counts["total_rows"]).cast("bigint").alias("total_rows"),
         F.lit(counts["clean_rows"]).cast("bigint").alias("clean_rows"),
@@ -90,3 +86,7 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
         "distinct_types", "distinct_statuses", "average_price",
         (F.col("clean_rows") == F.lit(counts["clean_rows"])).alias("load_complete"),
     )
+    row = summary.first()                              # one row
+    if not row["load_complete"]:
+        raise RuntimeError(f"load of run {run_id!r} is not complete: {row}")
+    return spark.createDataFrame([tuple(row)], summary.schema)

@@ -71,3 +71,12 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never-used folder under the shared root (one per run or test)."""
     return f"{shared_dir(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``fresh_dir``, on whatever file system it is."""
+    root = shared_dir(spark)
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not under the shared folder {root}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -14,6 +14,12 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# How this library's own CSV exports quote: a text with quotes, backslashes or line
+# breaks reads back as it was written. Such files are read whole, not in splits.
+CSV_EXPORT_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n"}
+# An unquoted empty cell is NULL and reads as this stand-in, so that "" stays an empty text.
+CSV_EXPORT_READ_OPTIONS = {**CSV_OPTIONS, **CSV_EXPORT_OPTIONS, "nullValue": "\u0000"}
+
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal rows to ``partitions`` tasks, only where asked for (one file that cannot be split)."""
@@ -55,7 +61,7 @@ def read_runs(spark: SparkSession, root: str, fmt: str = "parquet",
     """A table partitioned by ``run_id``; run ids are strings, never guessed to be numbers or dates."""
     def reader():
         r = spark.read.format(fmt)
-        return r.options(**CSV_OPTIONS) if fmt == "csv" else r
+        return r.options(**CSV_EXPORT_READ_OPTIONS) if fmt == "csv" else r
 
     fields = (schema or reader().load(root).schema).fields
     text = StructType([f for f in fields if f.name != "run_id"]

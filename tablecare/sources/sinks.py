@@ -8,13 +8,15 @@ to the target file system (any Hadoop URI); nothing passes through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tablecare.sources.files import CSV_OPTIONS, read_runs
+from tablecare.session import fresh_dir, remove_dir
+from tablecare.sources.files import CSV_EXPORT_OPTIONS, CSV_EXPORT_READ_OPTIONS, read_runs
 
 # Fixed value: characters that partition paths escape.
 PATH_SPECIAL = "\"#%'*/:=?\\{[]^\x7f"
@@ -24,6 +26,7 @@ CSV_WRITE_OPTIONS = {
     # keep leading/trailing spaces: a round trip must give back the same text
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    **CSV_EXPORT_OPTIONS,
 }
 
 
@@ -48,13 +51,23 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     they read the staged files instead of recomputing the cleaning, and a lost
     executor costs a re-read, not a recomputation.
     """
-    from tablecare.session import fresh_dir
-
     path = fresh_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` with an owner: the staged files are deleted when the block ends."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_dir(spark, path)
+
+
 def run_folder(root: str, run_id: str) -> str:
     """Folder of one run; special characters are escaped the way Spark reads them back."""
     name = "".join(f"%{ord(c):02X}" if c < " " or c in PATH_SPECIAL else c for c in run_id)
@@ -73,6 +86,11 @@ def write_run(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv",
     return root
 
 
+def with_run_id(df: DataFrame, run_id: str) -> DataFrame:
+    """``run_id`` as the last column, replacing one that is there."""
+    return df.drop("run_id").withColumn("run_id", F.lit(run_id).cast("string"))
+
+
 def write_latest(written: DataFrame, latest: str, fmt: str = "csv") -> str:
     """Replace the whole ``latest/`` copy with one run's rows (partitioned by outcome)."""
     _writer(written, fmt, "overwrite", ("outcome",), dynamic=False).save(latest)
@@ -82,16 +100,14 @@ def write_latest(written: DataFrame, latest: str, fmt: str = "csv") -> str:
 def publish(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv") -> tuple[str, str]:
     """Publish a run twice: into ``runs/`` (history) and as ``latest/``.
 
-    The run is computed once: ``runs/`` is written from ``tagged``, then
-    ``latest/`` is copied from the files just written (the read is pruned to
-    this run), so the cleaning is not recomputed for the second copy.
+    The run is computed once, into a staged Parquet table; both copies are
+    written from it, so a text passes through CSV only on its way out.
     """
     runs = f"{root}/runs"
     latest = f"{root}/latest"
-    write_run(tagged, runs, run_id, fmt)
-    spark = tagged.sparkSession
-    written = read_outputs(spark, runs, fmt, tagged.schema).where(F.col("run_id") == F.lit(run_id))
-    write_latest(written, latest, fmt)
+    with staged(tagged, "publish") as rows:
+        write_run(rows, runs, run_id, fmt)
+        write_latest(with_run_id(rows, run_id), latest, fmt)
     return runs, latest
 
 
@@ -104,7 +120,7 @@ def read_outputs(spark: SparkSession, root: str, fmt: str = "csv", schema=None,
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+        reader = reader.options(**CSV_EXPORT_READ_OPTIONS)
         if schema is not None:
             fields = [f for f in schema.fields if f.name != "run_id" and f.name not in partition_cols]
             text = [StructField(c, StringType(), True) for c in dict.fromkeys([*partition_cols, "run_id"])]

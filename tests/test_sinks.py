@@ -1,5 +1,9 @@
 from pyspark.sql import functions as F
 
+import os
+
+import pytest
+
 from tablecare.operators.validate import run_summary, validate_load, validate_load_sql
 from tablecare.session import fresh_dir
 from tablecare.sources import sinks
@@ -77,3 +81,26 @@ def test_run_ids_are_strings(spark):
     for i, run in enumerate(["007", "7", "2026-07-11", "20260711_164412", "a=b/c"]):
         sinks.load_warehouse(spark.createDataFrame([(i,)], "id int"), house, run)
         assert [r["id"] for r in read_run(spark, house, run).collect()] == [i]
+
+
+AWKWARD = ["plain", "two\nlines", 'a "quoted" word', "comma, here", "back\\", 'mix\\"ed\n,"end"', " spaced ",
+           "cr\r\nlf", "", None]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_texts_survive_both_copies(spark, tmp_path, fmt):
+    rows = [(i, text, "clean" if i % 2 else "quarantine") for i, text in enumerate(AWKWARD)]
+    tagged = spark.createDataFrame(rows, "id long, text string, outcome string")
+    runs, latest = sinks.publish(tagged, str(tmp_path / "out"), "r1", fmt)
+    for root, parts in ((runs, ("outcome", "run_id")), (latest, ("outcome",))):
+        back = sinks.read_outputs(spark, root, fmt, tagged.schema, parts)
+        assert sorted(map(tuple, back.select("id", "text", "outcome").collect())) == rows
+
+
+def test_staged_files_go_when_the_block_ends(spark):
+    df = spark.range(5)
+    with sinks.staged(df, "owned") as rows:
+        assert rows.count() == 5
+        folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
