@@ -123,6 +123,45 @@ def q_sink_latest_and_runs(spark, d):
     return hist.unionByName(last)
 
 
+def q_scan_csv_ragged(spark, d):
+    """Lines with too few or too many cells are kept whole in ``_corrupt_record``."""
+    root = fresh_dir(spark, "scan_csv_ragged")
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = (F.when(F.col("o_orderkey") % 7 == 0, key)
+            .when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", key, status, F.lit("more")))
+            .otherwise(F.concat_ws(",", key, status)))
+    read_table(spark, d, "orders").select(line.alias("value")).write.text(root)
+    return files.read_csv(spark, root, schema=files.string_schema(["o_orderkey", "o_orderstatus"]),
+                          corrupt_column="_corrupt_record", header="false")
+
+
+def q_sink_csv_texts(spark, d):
+    """Texts with line breaks, quotes, commas and backslashes, published and read back."""
+    root = fresh_dir(spark, "publish_texts")
+    docs = read_table(spark, d, "documents").select(
+        "doc_id", F.concat("text", F.lit('\n"'), "source", F.lit('", end\\')).alias("text"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit(sp.QUARANTINE)).otherwise(F.lit(sp.CLEAN)).alias("outcome"))
+    _, latest = sinks.publish(docs, root, RUN_A)
+    return sinks.read_outputs(spark, latest, "csv", docs.schema, partition_cols=("outcome",))
+
+
+def q_rerun_replaces_run(spark, d):
+    """A rerun without quarantine rows leaves none of the first try, in outputs and warehouse."""
+    root = fresh_dir(spark, "rerun")
+    rows = read_table(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(sp.QUARANTINE))
+        .otherwise(F.lit(sp.CLEAN)).alias("outcome"))
+    for again in (rows, rows.where(F.col("outcome") == F.lit(sp.CLEAN))):
+        sinks.write_run(again, f"{root}/runs", RUN_A)
+    for run in (RUN_A, RUN_B):
+        sinks.load_warehouse(rows, f"{root}/warehouse", run)
+    sinks.load_warehouse(rows.where(F.lit(False)), f"{root}/warehouse", RUN_A)     # an empty reload
+    kept = sinks.read_outputs(spark, f"{root}/runs", "csv", rows.schema)
+    loaded = files.read_runs(spark, f"{root}/warehouse", schema=rows.schema)
+    return (kept.withColumn("place", F.lit("runs"))
+            .unionByName(loaded.withColumn("place", F.lit("warehouse"))))
+
+
 def _warehouse(spark, d) -> str:
     root = fresh_dir(spark, "warehouse")
     clean = sinks.stage(_split(spark, d).clean, "clean")
@@ -289,6 +328,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv": q_scan_csv,
     "scan_csv_infer": q_scan_csv_infer,
     "scan_csv_permissive": q_scan_csv_permissive,
+    "scan_csv_ragged": q_scan_csv_ragged,
+    "sink_csv_texts": q_sink_csv_texts,
+    "rerun_replaces_run": q_rerun_replaces_run,
     "read_run": q_read_run,
     "sink_run_csv": q_sink_run_csv,
     "sink_latest_and_runs": q_sink_latest_and_runs,

@@ -171,6 +171,23 @@ def build() -> dict[str, str]:
     sql["scan_csv_infer"] = sql["scan_csv"]
     sql["scan_csv_permissive"] = (f"WITH dirty AS ({DIRTY}) "
                                   "SELECT *, NULL::VARCHAR AS _corrupt_record FROM dirty")
+    sql["scan_csv_ragged"] = """
+        SELECT o_orderkey::VARCHAR AS o_orderkey,
+               CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey::VARCHAR
+                    WHEN o_orderkey % 11 = 0 THEN o_orderkey::VARCHAR || ',' || o_orderstatus || ',more'
+               END AS _corrupt_record
+        FROM orders"""
+    sql["sink_csv_texts"] = f"""
+        SELECT doc_id, text || chr(10) || '"' || source || '", end\\' AS text,
+               CASE WHEN doc_id % 3 = 0 THEN 'quarantine' ELSE 'clean' END AS outcome, '{RUN_A}' AS run_id
+        FROM documents"""
+    sql["rerun_replaces_run"] = f"""
+        SELECT o_orderkey, 'clean' AS outcome, '{RUN_A}' AS run_id, 'runs' AS place
+        FROM orders WHERE o_orderkey % 5 <> 0
+        UNION ALL
+        SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'quarantine' ELSE 'clean' END,
+               '{RUN_B}', 'warehouse' FROM orders"""
     sql["sink_run_csv"] = (chain("s_flag", f"tagged AS ({tagged_sel})")
                            + _runs_table("tagged", [RUN_A, RUN_B]))
     sql["run_summary"] = (chain("s_flag", f"tagged AS ({tagged_sel})") + "\nUNION ALL\n".join(
