@@ -6,8 +6,7 @@ equality is NULL-unsafe (a row with a NULL in any key is never flagged, as an
 equi-join ``USING`` all columns behaves); ``null_safe=True`` treats NULLs as
 equal.
 
-Scale design (``method="fingerprint"``, chosen by ``auto`` for inputs larger
-than one wave of tasks):
+Scale design of ``method="fingerprint"``, which is used only where asked for:
 
 1. Each eligible row gets a 64-bit fingerprint of its key values. Counting
    fingerprints is a shuffle of 8-byte values with map-side partial counts, so
@@ -24,8 +23,9 @@ than one wave of tasks):
    skew-join split.
 
 ``method="join"`` is the plain form (aggregate on all columns, left join back
-on all columns): two full shuffles of whole rows, the cheaper plan for inputs
-that fit in one wave of tasks. Its join is skew-safe through AQE's skew split.
+on all columns), the default at every size: whole rows are shuffled for the
+aggregate (map-side partial) and again for the join, which leaves skew to AQE's
+skew-join split.
 """
 
 from __future__ import annotations
