@@ -12,12 +12,18 @@ about standard normal for uniform characters, are computed:
 * runs above and below the middle of the alphabet;
 * serial correlation of neighbouring characters.
 
-Their squared sum is the run's score (small: random). False discoveries are
-controlled by length: every run is paired with a decoy, the next equally many
-key characters of the same text with everything else left out, which goes
-through the same inference and tests. For each length class the scores are
-counted in bins (a fixed number of rows, whatever the corpus), and the largest
-threshold is taken at which (decoys + 1) / (runs) is at most ``fdr``.
+Their squared sum is the run's score (small: random). What a run is held against does
+not come from the corpus: per length of ``LENGTHS``, ``NULL_SIZE`` seeded windows of text that is
+not random (shuffled prose of four languages in lower, upper and mixed case, with the
+joins of names and paths and with numbers, plain numbers, repeated short units and
+alphabets in order) go through the same inference and tests. A run is held against the
+longest windows that are not longer than it. T is the share of windows with the run's
+alphabet and at most its score; its p-value is the sum over
+alphabets of min(T, share of the alphabet), the chance of a T as small. Per length class
+the Benjamini-Hochberg step at ``fdr`` over the p-values tells which runs are listed;
+they are counted in bins (a fixed number of rows, whatever the corpus). The least
+p-value is 8 / (NULL_SIZE + 1), so at fdr 0.05 a class in which fewer than one run in
+750 is random lists none; keys of lower-case letters only pass from about 48 on.
 
 Positions are code points. Matches are located without Python: every match is
 framed by a mark character, the text split at the marks, and lengths summed.
@@ -29,7 +35,10 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import cache
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecare.llm.common import id_text, stage
@@ -55,7 +64,21 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 LENGTH_CLASSES = (24, 32, 48, 80)      # a class ends below each of these
+LENGTHS = (20, 22, 24, 28, 32, 36, 40, 44, 48, 64, 80)   # lengths of null windows; has all class ends
 BINS_PER_UNIT, BINS = 4, 400
+NULL_SIZE, NULL_WORDS, SEED = 120_000, 100_000, 7
+PROSE = """
+the river runs past our old house and every morning she walks along it with a small brown dog
+because nobody else would take him out before breakfast what happens when people change their minds
+about something they have always believed is that first they deny it then explain why it was never
+important request user index value update service manager factory default config module handler
+le matin je prends mon vélo pour aller au marché où les gens parlent toujours du temps qu'il fait
+nous avons trouvé cette maison par hasard quand il pleuvait depuis trois jours sans aucune raison
+die kinder spielen nach der schule im garten während ihre eltern noch zwischen küche und wohnzimmer
+laufen wir haben gestern einen langen brief geschrieben weil niemand das telefon abnehmen wollte
+cuando llegamos al pueblo ya era de noche y solamente quedaba abierta una pequeña tienda donde
+vendían pan queso y algunas botellas de vino mientras los hombres jugaban a las cartas sin hablar
+"""
 MARK, STAND_IN = "\u0001", "\u0002"
 BLOCK = 128
 
@@ -97,11 +120,16 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def score(run: Column) -> Column:
-    """Squared sum of the battery's statistics over the inferred alphabet."""
+    """(alphabet, score): the inferred alphabet's place and the battery's squared sum.
+
+    Less than two key characters (only ``=``) give no score.
+    """
     bare = F.translate(F.regexp_replace(run, "=+$", ""), "-_", "+/")
-    alphabet = F.lit(ALPHABETS["base64"])
-    for letters in reversed(list(ALPHABETS.values())[:-1]):
-        alphabet = F.when(F.translate(bare, letters, "") == "", F.lit(letters)).otherwise(alphabet)
+    *tried, rest = ALPHABETS.values()
+    alphabet, place = F.lit(rest), F.lit(len(tried))
+    for i, letters in reversed(list(enumerate(tried))):
+        fits = F.translate(bare, letters, "") == ""
+        alphabet, place = F.when(fits, F.lit(letters)).otherwise(alphabet), F.when(fits, F.lit(i)).otherwise(place)
 
     def battery(x: Column) -> Column:
         places, a = x["places"], F.length(x["alphabet"]).cast("double")
@@ -129,58 +157,133 @@ def score(run: Column) -> Column:
         products = F.aggregate(pairs, F.lit(0.0),
                                lambda s, p: s + (p["u"] - mean) * (p["v"] - mean))
         z3 = products / (F.sqrt(n - 1) * (a * a - 1) / 12)
-        return z1 * z1 + z2 * z2 + z3 * z3
+        return F.struct(x["place"].alias("alphabet"),
+                        F.when(n >= 2, z1 * z1 + z2 * z2 + z3 * z3).alias("score"))
 
-    state = F.array(F.struct(alphabet.alias("alphabet"), bare.alias("bare")))
+    state = F.array(F.struct(alphabet.alias("alphabet"), place.alias("place"), bare.alias("bare")))
     with_places = F.transform(state, lambda x: F.struct(
-        x["alphabet"].alias("alphabet"),
+        x["alphabet"].alias("alphabet"), x["place"].alias("place"),
         F.filter(F.transform(F.split(x["bare"], ""), lambda c: F.instr(x["alphabet"], c) - 1),
                  lambda p: p >= 0).alias("places")))
     return F.element_at(F.transform(with_places, battery), 1)
 
 
 def _bin(value: Column) -> Column:
-    return F.least(F.floor(value * BINS_PER_UNIT), F.lit(BINS)).cast("int")
+    return F.coalesce(F.least(F.floor(value * BINS_PER_UNIT), F.lit(BINS)), F.lit(BINS)).cast("int")
 
 
-def _length_class(n: Column) -> Column:
-    out = F.lit(len(LENGTH_CLASSES))
-    for i, end in reversed(list(enumerate(LENGTH_CLASSES))):
+def _length(n: Column) -> Column:
+    """Place in LENGTHS of the longest window that is not longer."""
+    out = F.lit(len(LENGTHS) - 1)
+    for i, end in reversed(list(enumerate(LENGTHS[1:]))):
         out = F.when(n < end, F.lit(i)).otherwise(out)
     return out
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<start, end, cls, bin, decoy>>; decoy: the bin of the run's decoy, or NULL."""
-    def judged(m: Column) -> Column:
-        n = m["end"] - m["start"]
-        after = F.regexp_replace(F.substr(text, m["end"] + 1, 3 * n + 40), "[^A-Za-z0-9+/_-]+", "")
-        before = F.regexp_replace(
-            F.substr(text, F.greatest(m["start"] - 3 * n - 39, F.lit(1)),
-                     F.least(3 * n + 40, m["start"])), "[^A-Za-z0-9+/_-]+", "")
-        near = F.when(F.length(after) >= n, F.substr(after, F.lit(1), n)).when(
-            F.length(before) >= n, F.substr(before, F.length(before) - n + 1, n))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"),
-                        _length_class(n).alias("cls"), _bin(score(m["found"])).alias("bin"),
-                        F.when(near.isNotNull(), _bin(score(near))).alias("decoy"))
-
-    return F.transform(matches(text, RUN, RUN), judged)
-
-
-def thresholds(judged: DataFrame, fdr: float) -> dict[int, int]:
-    """Per length class the largest bin that still counts as random (-1: none).
-
-    At most (classes x bins) rows are looked at, whatever the corpus.
+    """array<struct<start, end, length, alphabet, bin>> of the runs."""
+    scored = F.transform(matches(text, RUN, RUN), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), score(m["found"]).alias("s")))
+    return F.transform(scored, lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), _length(x["end"] - x["start"]).alias("length"),
+        x["s"]["alphabet"].alias("alphabet"), _bin(x["s"]["score"]).alias("bin")))
+
+
+def scores(places: np.ndarray, a: int) -> np.ndarray:
+    """The battery of ``score`` for rows of equally many places in an alphabet of ``a``."""
+    n = places.shape[1]
+    rows = np.arange(len(places))[:, None] * a
+    counts = np.bincount((rows + places).ravel(), minlength=len(places) * a).reshape(-1, a)
+    chi = a / n * (counts.astype(float) ** 2).sum(1) - n
+    z1 = (chi - (a - 1)) / np.sqrt(2 * (a - 1) * (n - 1) / n)
+    high, off = places * 2 >= a, places - (a - 1) / 2
+    z2 = ((high[:, 1:] != high[:, :-1]).sum(1) - (n - 1) / 2) / np.sqrt((n - 1) / 4)
+    z3 = (off[:, 1:] * off[:, :-1]).sum(1) / (np.sqrt(n - 1) * (a * a - 1) / 12)
+    return z1 * z1 + z2 * z2 + z3 * z3
+
+
+def _codes(text: str) -> np.ndarray:
+    """The base64 characters of a text, as byte values."""
+    codes = np.frombuffer(text.encode("ascii", "ignore"), dtype=np.uint8)
+    return codes[np.isin(codes, np.frombuffer(ALPHABETS["base64"].encode(), dtype=np.uint8))]
+
+
+def streams(r: np.random.Generator) -> list[np.ndarray]:
+    """Long texts that are not random, as byte values."""
+    words = r.choice(np.array(PROSE.split(), dtype=object), NULL_WORDS)
+    numbers = np.floor(10 ** r.uniform(0, 6, NULL_WORDS)).astype(int).astype(str)
+    use, case, joint = r.random(NULL_WORDS), r.random(NULL_WORDS), r.integers(0, 6, NULL_WORDS // 50 + 1)
+    counted = "".join(m if u < 0.2 else w for w, m, u in zip(words, numbers, use))
+    names = "".join(
+        (m if u < 0.1 else w if c < 0.5 else w.title() if c < 0.9 else w.upper())
+        + ("", "", "", "+", "/", "/")[joint[i // 50]]             # one way of joining for 50 words
+        for i, (w, m, u, c) in enumerate(zip(words, numbers, use, case)))
+    plain = "".join(words)
+    return [_codes(t) for t in (plain, plain.upper(), counted, counted.upper(), names, "".join(numbers))]
+
+
+def not_random(texts: list[np.ndarray], n: int, r: np.random.Generator) -> np.ndarray:
+    """About NULL_SIZE windows of ``n`` characters, as byte values."""
+    each, out = NULL_SIZE // (len(texts) + 2), []
+    for s in texts:
+        out.append(s[r.integers(0, len(s) - n + 1, each)[:, None] + np.arange(n)])
+    letters = [_codes(x) for x in ALPHABETS.values()]
+    sizes = np.array([len(x) for x in letters])
+    table = np.stack([np.resize(x, 64) for x in letters])
+    which, at = r.integers(0, len(letters), (each, 1)), np.arange(n)
+    units = r.integers(0, 64, (each, 4)) % sizes[which]           # units of 1 to 4 characters
+    out.append(table[which, np.take_along_axis(units, at % r.integers(1, 5, (each, 1)), 1)])
+    out.append(table[which, (r.integers(0, 64, (each, 1)) + at) % sizes[which]])
+    return np.concatenate(out)
+
+
+@cache
+def p_values() -> np.ndarray:
+    """p-values by (length, alphabet, bin), from windows that are not random."""
+    r = np.random.default_rng(SEED)
+    texts, out = streams(r), np.ones((len(LENGTHS), len(ALPHABETS), BINS + 1))
+    for i, n in enumerate(LENGTHS):
+        windows = not_random(texts, n, r)
+        open_, counts = np.ones(len(windows), dtype=bool), np.zeros((len(ALPHABETS), BINS + 1))
+        for k, letters in enumerate(ALPHABETS.values()):
+            place = np.full(128, -1)
+            place[_codes(letters)] = range(len(letters))
+            places = place[windows]
+            fits = open_ & (places >= 0).all(1)
+            open_ &= ~fits
+            bins = np.minimum(np.floor(scores(places[fits], len(letters)) * BINS_PER_UNIT), BINS)
+            counts[k] = np.bincount(bins.astype(int), minlength=BINS + 1)
+        t = (np.cumsum(counts, axis=1) + 1) / (len(windows) + 1)
+        shares = t[:, -1]
+        out[i, :, :BINS] = np.minimum(t[:, :BINS, None], shares).sum(-1)
+    return np.minimum(out, 1.0)
+
+
+def thresholds(judged: DataFrame, fdr: float) -> dict[tuple[int, int], int]:
+    """Per length and alphabet the largest bin that still counts as random.
+
+    At most (lengths x alphabets x bins) rows are looked at, whatever the corpus.
     """
-    each = judged.select(F.explode("candidates").alias("c"))
-    seen = (each.select("c.cls", F.col("c.bin").alias("bin"), F.lit(0).alias("decoy"))
-            .union(each.filter("c.decoy IS NOT NULL").select("c.cls", "c.decoy", F.lit(1)))
-            .groupBy("cls", "bin").agg(F.sum("decoy").alias("d"), F.sum(1 - F.col("decoy")).alias("t")))
-    up = Window.partitionBy("cls").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    good = (seen.withColumns({"dd": F.sum("d").over(up), "tt": F.sum("t").over(up)})
-            .filter((F.col("dd") + 1) / F.greatest("tt", F.lit(1)) <= fdr)
-            .groupBy("cls").agg(F.max("bin").alias("bin")))
-    return {r["cls"]: r["bin"] for r in good.collect()}
+    p, classes = p_values(), {}
+    for r in (judged.select(F.explode("candidates").alias("c"))
+              .groupBy("c.length", "c.alphabet", "c.bin").count().collect()):
+        cls = sum(LENGTHS[r["length"]] >= end for end in LENGTH_CLASSES)
+        classes.setdefault(cls, []).append((p[r["length"], r["alphabet"], r["bin"]], r["count"]))
+    most = {}
+    for cls, some in classes.items():
+        total, k, most[cls] = sum(n for _, n in some), 0, 0.0
+        for value, n in sorted(some):
+            k += n
+            if value <= fdr * k / total:
+                most[cls] = value
+    out = {}
+    for i, n in enumerate(LENGTHS):
+        limit = most.get(sum(n >= end for end in LENGTH_CLASSES), 0.0)
+        for alphabet in range(len(ALPHABETS)):      # p grows with the bin
+            fit = int(np.searchsorted(p[i, alphabet], limit, side="right")) - 1
+            if fit >= 0:
+                out[i, alphabet] = fit
+    return out
 
 
 def scan(docs: DataFrame, fdr: float = 0.05, id_col: str = "doc_id",
@@ -196,8 +299,8 @@ def scan(docs: DataFrame, fdr: float = 0.05, id_col: str = "doc_id",
 
     def passes(c: Column) -> Column:
         most = F.lit(-1)
-        for cls, b in limit.items():
-            most = F.when(c["cls"] == cls, F.lit(b)).otherwise(most)
+        for (length, alphabet), b in limit.items():
+            most = F.when((c["length"] == length) & (c["alphabet"] == alphabet), F.lit(b)).otherwise(most)
         return c["bin"] <= most
 
     random = F.transform(F.filter("candidates", passes), lambda m: F.struct(

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablecare.llm import binary_records as B
 from tablecare.llm import decontaminate, quality_cnn, secrets, token_counts, toxicity
@@ -274,3 +275,40 @@ def test_random_runs_are_told_from_words(spark, empty):
     found = {x["doc_id"] for x in rows if "random" in x["spans"]}
     assert len([i for i in found if i % 2]) >= 27 and not [i for i in found if not i % 2]
     assert secrets.digest(secrets.scan(empty)).count() == 0
+
+
+def _random_spans(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["random"] for r in secrets.scan(docs).collect()}
+    return [[t[s["start"]:s["end"]] for s in rows[i]] for i, t in enumerate(texts)]
+
+
+def test_random_runs_do_not_hang_on_the_corpus(spark):
+    r = np.random.default_rng(5)
+    keys = ["".join(r.choice(list("0123456789abcdef"), 40)) for _ in range(33)]
+    words = "the walking tree of the northern river and some paper, then again the tree. " * 5
+    single = f"{words}{keys[0]} {words}"
+    assert _random_spans(spark, [single]) == [[keys[0]]]                   # a table with one key
+    dump = "\n".join(keys[13:])                                            # one key a line, no prose
+    assert _random_spans(spark, [dump]) == [keys[13:]]
+    some = [f"{words}{k} {words}" for k in keys[:13]]                      # fewer than 20 runs
+    assert _random_spans(spark, [*some, dump]) == [[k] for k in keys[:13]] + [keys[13:]]
+
+
+def test_runs_that_are_not_random(spark):
+    texts = ["=" * 30, "-" * 40, "a" * 40, "0123456789" * 5, "abcdefghijklmnopqrstuvwxyz" * 2, "deadbeef" * 5,
+             "getUserAccountManagerFactoryDefaultConfigHandler", "/usr/local/share/documents/paper/index/default",
+             "SOME_VERY_LONG_CONSTANT_NAME_OF_THE_MODULE"]
+    assert _random_spans(spark, [f"x {t} y" for t in texts]) == [[]] * len(texts)
+
+
+def test_battery_by_brute_force(spark):
+    r = np.random.default_rng(9)
+    for k, (name, letters) in enumerate(secrets.ALPHABETS.items()):
+        runs = ["".join(r.choice(list(letters), n)) for n in (20, 33, 90)]
+        places = [[letters.index(c) for c in x] for x in runs]
+        got = spark.createDataFrame([(x,) for x in runs], "run string").select(
+            secrets.score(F.col("run")).alias("s")).collect()
+        assert [x["s"]["alphabet"] for x in got] == [k] * 3, name
+        want = [secrets.scores(np.array([p]), len(letters))[0] for p in places]
+        assert np.allclose([x["s"]["score"] for x in got], want), name
