@@ -1,10 +1,14 @@
 """Chat formatting by quotation linking [native].
 
 1. Every message is cut into lines; leading ``>`` marks give a line's quote
-   level. Lines of level 0 are the message's own text. Each quoted line, and
-   each maximal run of lines of one level, is a quoted passage.
+   level. Lines of level 0 are the message's own text. Each quoted line, each
+   maximal run of lines of one level, each paragraph of it (cut at blank lines)
+   and each sentence of a paragraph is a quoted passage, so a quotation may be
+   re-wrapped or hold one sentence of a line. Less than a sentence of what was
+   said (and less than a line) is not linked.
 2. Passages are normalised (lower case, single spaces, trimmed) and hashed, as
-   are the own lines, own runs and whole own text of every message.
+   are the own lines, sentences, paragraphs, runs and whole own text of every
+   message.
 3. A passage links to the latest earlier message of its conversation that holds
    it: an as-of step over (conversation, hash), in blocks of ``BLOCK`` turns with
    the last turn of earlier blocks carried over, so a phrase that everybody
@@ -36,6 +40,8 @@ from pyspark.sql import functions as F
 from tablecare.llm.common import min_partitions, quoted, stage
 
 QUOTE_MARKS = r"^((?:\x20{0,3}>)+)\x20?"
+# After the end of a sentence with its closing marks; scripts without spaces need none.
+SENTENCE_END = r"""(?<=[.!?…][\])"'”’»]{0,2})\x20|(?<=[。！？][」』”’）]{0,2})(?![」』”’）。！？])\x20?"""
 BLOCK = 1024
 KEYS = ["conv", "at"]
 
@@ -73,14 +79,23 @@ def own_text(runs: str = "runs") -> Column:
 
 
 def _pieces(level_filter) -> Column:
-    """Normalised lines and runs of the levels wanted, with their level, blank ones left out."""
+    """Normalised lines, sentences, paragraphs and runs of the levels wanted, with their level.
+
+    Blank ones are left out.
+    """
     wanted = F.filter("runs", lambda r: level_filter(r["level"]))
-    both = F.flatten(F.transform(wanted, lambda r: F.concat(
-        F.transform(r["lines"], lambda x: F.struct(
-            r["level"].alias("level"), normalised(x).alias("text"))),
-        F.array(F.struct(r["level"].alias("level"),
-                         normalised(F.array_join(r["lines"], " ")).alias("text"))))))
-    return F.array_distinct(F.filter(both, lambda p: p["text"] != ""))
+
+    def of_run(r: Column) -> Column:
+        lines = F.transform(r["lines"], normalised)
+        # a blank line becomes the one line break that stays
+        paragraphs = F.transform(F.split(F.array_join(F.transform(
+            lines, lambda x: F.when(x == "", F.lit("\n")).otherwise(x)), " "), "\n"), F.trim)
+        sentences = F.flatten(F.transform(paragraphs, lambda x: F.split(x, SENTENCE_END)))
+        whole = F.array(F.array_join(F.filter(lines, lambda x: x != ""), " "))
+        return F.transform(F.array_distinct(F.concat(lines, sentences, paragraphs, whole)),
+                           lambda x: F.struct(r["level"].alias("level"), F.trim(x).alias("text")))
+
+    return F.array_distinct(F.filter(F.flatten(F.transform(wanted, of_run)), lambda p: p["text"] != ""))
 
 
 def links(messages: DataFrame) -> DataFrame:

@@ -126,6 +126,26 @@ def test_a_long_chain_and_far_quotes(spark):
     assert by[2, 5000]["reply_to"] == 0
 
 
+def test_sentences_and_wrapped_paragraphs(spark):
+    rows = [
+        (1, 0, "user", "How do I sort?\nIt is slow\nhere.\n\nThanks."),
+        (1, 1, "assistant", "> How do I sort? It is slow here.\n\nUse an index."),      # wrapped anew
+        (2, 0, "user", "It rains (again.) Take a coat. Go early!"),
+        (2, 1, "assistant", "Unrelated."),
+        (2, 2, "assistant", "> Take a coat.\n\nWhich one?"),                            # one sentence
+        (2, 3, "user", "> Take a\n> coat. Go\n> early!\n\nYes."),                     # two, wrapped
+        (3, 0, "user", "First part\nof it.\n\nSecond part\nof it.\n\nThird."),
+        (3, 1, "assistant", ">> never said\n> Second part of it.\nWell."),
+        (3, 2, "user", "> Well.\n>\n> Not this one.\nHm."),
+        (4, 0, "user", "今日は。元気ですか？「はい。」そう。"), (4, 1, "assistant", "> 元気ですか？\nはい"),
+        (5, 0, "user", "Version 1.5 is out. Try it."), (5, 1, "user", "> 5 is out.\nNo sentence."),
+    ]
+    data = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r["reply_to"] for r in quotes.link_quotes(data).collect()}
+    assert {k: v for k, v in got.items() if k[1]} == {
+        (1, 1): 0, (2, 1): None, (2, 2): 0, (2, 3): 0, (3, 1): 0, (3, 2): 1, (4, 1): 0, (5, 1): None}
+
+
 # -- pipeline --------------------------------------------------------------------------------
 def test_pipeline_by_brute_force(spark):
     import corpus_pipeline
