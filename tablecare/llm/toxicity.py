@@ -142,7 +142,11 @@ def _contexts(rows: DataFrame) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 5,
           remainder: int = 0, sample: int = 2500, min_contexts: int = 5, min_log_odds: float = 3.0,
           max_entries: int = 5000) -> Lexicon:
-    """Fit the lexicon on a sample of at most ``2 * sample`` labelled rows."""
+    """Fit the lexicon on a sample of at most ``2 * sample`` labelled rows.
+
+    It has at most ``max_entries`` entries, those in the most toxic contexts, and at most
+    as many exception phrases, those in the most clean contexts; phrases of every entry count.
+    """
     rows = labelled_sample(docs, labels, label, divisor, remainder, sample).cache()
     contexts = _contexts(rows).cache()
     forms = [F.concat(F.lit(" "), F.col("word"), F.lit(" "))] + [
@@ -163,16 +167,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
             chosen[r["entry"]] = r["odds"]
     pair_rows = []
     if chosen:
-        words = F.lit(False)
-        for e in sorted(chosen)[:500]:
-            w = e.strip()
-            words = words | ((F.col("word") == w) if e.endswith(" ") else F.col("word").startswith(w))
-        pairs = contexts.filter(words).select("label", F.explode(F.array(
+        # at most max_entries short strings
+        known = docs.sparkSession.createDataFrame([(e,) for e in chosen], "entry string")
+        found = (contexts.withColumn("entry", F.explode(F.array(*forms))).filter("entry IS NOT NULL")
+                 .join(F.broadcast(known), "entry").drop("entry").distinct())
+        pairs = found.select("label", F.explode(F.array(
             F.concat_ws(" ", F.lit(""), "before", "word", F.lit("")),
             F.concat_ws(" ", F.lit(""), "word", "after", F.lit("")))).alias("pair"))
         pair_rows = (pairs.groupBy("pair").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
                      .filter((F.col("n") - F.col("bad") >= 3) & (F.col("bad") <= 0.05 * F.col("n")))
-                     .orderBy("pair").limit(max_entries).collect())
+                     .orderBy(F.desc(F.col("n") - F.col("bad")), "bad", "pair").limit(max_entries).collect())
     lexicon = Lexicon(chosen, [r["pair"] for r in pair_rows if "  " not in r["pair"]], 0.0, 0.0)
     lexicon = calibrate(rows, lexicon)
     contexts.unpersist()

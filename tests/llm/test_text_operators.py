@@ -186,6 +186,25 @@ def test_toxicity_folds_and_spares_phrases(spark, awkward, empty):
     assert {r["predicted"] for r in toxicity.score(awkward, nothing).collect()} == {0}
 
 
+def test_late_entries_have_exceptions_too(spark):
+    r = np.random.default_rng(4)
+    letters = "abcdefghijklm"
+    bad = [a + b + c for a in letters for b in letters for c in letters][:520]
+    clean = ["n" + "".join(r.choice(list("opqrstuvw"), 5)) for _ in range(2000)]
+    docs, labels = [], []
+    for i in range(45):
+        if i < 15:
+            words = list(r.permutation(bad + ["zzz"] * 20))
+        else:
+            words = list(r.choice(clean, 600)) + (["quick", "zzz"] if i < 24 else []) + list(r.choice(clean, 9))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i < 15)))
+    lexicon = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"),
+                             spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(lexicon.entries) > 500 and " zzz " in lexicon.entries
+    assert " quick zzz " in lexicon.exceptions
+
+
 def test_held_out_rows_are_never_learned_from(spark):
     docs, labels = _toxic_table(spark)
     rows = toxicity.labelled_sample(docs, labels, "toxic", 5, 0, 1000).collect()
