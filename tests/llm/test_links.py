@@ -146,6 +146,95 @@ def test_sentences_and_wrapped_paragraphs(spark):
         (1, 1): 0, (2, 1): None, (2, 2): 0, (2, 3): 0, (3, 1): 0, (3, 2): 1, (4, 1): 0, (5, 1): None}
 
 
+def _brute_links(messages):
+    """{(conv, turn): ([(level, source)], thread, position)} by comparing every passage with every message."""
+    def norm(t):
+        return " ".join(t.lower().split())
+
+    def pieces(lines):
+        """Lines, sentences, paragraphs and the whole of one run."""
+        paragraphs = [[]]
+        for x in map(norm, lines):
+            if x:
+                paragraphs[-1].append(x)
+            else:
+                paragraphs.append([])
+        paragraphs = [" ".join(p) for p in paragraphs]
+        sentences = [x for p in paragraphs for x in re.findall(r".+?[.!?](?=\x20|$)|.+", p)]
+        return {norm(x) for x in [*lines, *paragraphs, *sentences, " ".join(lines)]} - {""}
+
+    parsed = {}
+    for conv, turn, _, text in messages:
+        runs = []
+        for line in text.split("\n"):
+            mark = re.match(r"((?: {0,3}>)+) ?", line)
+            level = mark.group(1).count(">") if mark else 0
+            if not runs or runs[-1][0] != level:
+                runs.append((level, []))
+            runs[-1][1].append(line[mark.end():] if mark else line)
+        own = {p for level, x in runs if not level for p in pieces(x)}
+        own.add(norm(" ".join(x for level, lines in runs if not level for x in lines)))
+        quoted = {(level, p) for level, x in runs if level for p in pieces(x)}
+        parsed.setdefault(conv, {})[turn] = own, quoted
+    out = {}
+    for conv, turns in parsed.items():
+        thread = {}
+        found = {}
+        for turn in sorted(turns):
+            sums = {}
+            for level, p in turns[turn][1]:
+                sources = [t for t in turns if t < turn and p in turns[t][0]]
+                if sources:
+                    key = level, max(sources)
+                    sums[key] = sums.get(key, 0) + len(p)
+            best = {v: max((n, s) for (u, s), n in sums.items() if u == v)[1] for v in {u for u, _ in sums}}
+            found[turn] = sorted(best.items())
+            thread[turn] = thread[found[turn][0][1]] if best else turn
+        for i, turn in enumerate(sorted(turns, key=lambda t: (thread[t], t))):
+            out[conv, turn] = found[turn], thread[turn], i
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quotes_by_brute_force(spark, seed):
+    """The given conversations hold no quotes: replies are made here from lines of earlier turns."""
+    r = np.random.default_rng(seed)
+    given = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    texts = [x["text"] for x in given.orderBy("conv_id", "turn").collect() if x["text"]]
+    hot = "Thank you all."
+    rows = []
+    for conv in range(6):
+        said = []
+        for turn in range(14):
+            own = texts[r.integers(len(texts))].split("\n")
+            own = own[:r.integers(1, 4)] + ["", hot] * int(r.integers(2))
+            lines = []
+            for _ in range(r.integers(0, 3) if said else 0):
+                lines_of = said[r.integers(len(said))]
+                kind = r.integers(5)
+                if kind == 0:                                        # some lines
+                    part = lines_of[:r.integers(1, len(lines_of) + 1)]
+                elif kind == 1:                                      # one sentence
+                    found = re.findall(r"[^.!?]+[.!?]", lines_of[r.integers(len(lines_of))])
+                    part = [x.strip() for x in found[:1]] or lines_of
+                elif kind == 2:                                      # wrapped anew
+                    w = " ".join(lines_of).split()
+                    part = [" ".join(w[i:i + 7]) for i in range(0, len(w), 7)]
+                elif kind == 3:
+                    part = [hot]
+                else:
+                    part = ["never said", *lines_of[:1]]
+                lines += [">" * int(r.integers(1, 4)) + " " + x for x in part]
+            said.append(own)
+            rows.append((conv, turn, "user", "\n".join(lines + own)))
+    got = {(x["conv_id"], x["turn"]): x for x in quotes.link_quotes(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    want = _brute_links(rows)
+    assert sum(bool(v[0]) for v in want.values()) > 25
+    assert {k: ([tuple(q) for q in x["quoted"] or []], x["thread"], x["position"])
+            for k, x in got.items()} == want
+
+
 # -- pipeline --------------------------------------------------------------------------------
 def test_pipeline_by_brute_force(spark):
     import corpus_pipeline
