@@ -507,13 +507,20 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
 
 
 def keep_one_per_component(docs: DataFrame, threshold: int = 80, text_col: str = "text") -> DataFrame:
-    """The input rows whose doc_id is their component's smallest, with the input's columns."""
-    found = link_components(docs, threshold, text_col=text_col)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("stays")).distinct()
-    row = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
-                      quoted("doc_id").cast("long").alias("doc_id"))
-    return row.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi").select("row.*")
+    """One input row of each component, with the input's columns: the first by (doc_id, NULL
+    before all others, then hash of the text). Rows are linked by a number of their own, so
+    NULL and repeated ids are rows like others; documents without words all stay.
+    """
+    rows = stage(docs.select(
+        F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
+        F.monotonically_increasing_id().alias("at"),
+        F.struct(quoted("doc_id").cast("long").alias("doc_id"),
+                 F.xxhash64(quoted(text_col)).alias("hash")).alias("order")), "numbered")
+    found = link_components(rows.select("at", F.col("row")[text_col].alias("text")), threshold,
+                            id_col="at")
+    stay = (rows.select("at", "order").join(found.withColumnRenamed("doc_id", "at"), "at")
+            .groupBy("component_id").agg(F.min(F.struct("order", "at"))["at"].alias("at")))
+    return rows.join(stay, "at", "left_semi").select("row.*")
 
 
 ORACLE = """

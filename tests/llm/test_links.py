@@ -83,6 +83,20 @@ def test_by_brute_force(spark, monkeypatch, seed, rare, large):
     _check(spark, [(i * 3, t) for i, t in enumerate(texts)], rare=rare)
 
 
+def test_one_of_near_copies_stays_whatever_the_ids(spark):
+    def near(start):
+        text = " ".join(f"w{start + i}" for i in range(100))
+        return [text, text + " end", "begin " + text]
+
+    rows = [(None, t) for t in near(0)] + [(7, t) for t in near(1000)]          # all NULL, all the same
+    rows += [(i, t) for i, t in zip((9, None, 8), near(2000))] + [(i, t) for i, t in zip((5, 4, 6), near(3000))]
+    rows += [(7, "alone under a repeated id"), (None, ""), (None, None), (3, " "), (7, "")]
+    kept = jaccard_join.keep_one_per_component(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    of = {v: [r["doc_id"] for r in kept if f"w{v} " in (r["text"] or "")] for v in (50, 1050, 2050, 3050)}
+    assert of == {50: [None], 1050: [7], 2050: [None], 3050: [4]}
+    assert len(kept) == 4 + 5
+
+
 # -- quotes ---------------------------------------------------------------------------------
 def test_quotes(spark):
     rows = [
