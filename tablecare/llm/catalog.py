@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from tablecare.llm import (binary_records, decontaminate, exact_dedup, jaccard_join, packing,
-                           quality_cnn, quotes, secrets, token_counts, toxicity)
+from pyspark.sql import functions as F
+
+from tablecare.llm import (binary_records, compression_rules, decontaminate, exact_dedup,
+                           hard_negatives, jaccard_join, packing, periodic_runs, quality_cnn,
+                           quotes, secrets, token_counts, toxicity)
 from tablecare.llm.common import table
 
 
@@ -57,9 +60,25 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark, sf_dir):
+    return compression_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"),
+                               relabel=hard_negatives.shifted_label(),
+                               is_anchor=F.col("vec_id") % 100 == 0)
+
+
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.digest(periodic_runs.find_runs(docs, reorder=periodic_runs.seeded_periods))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_packing, op3_quote_linking, op4_decontamination, op5_binary_output, op6_toxicity,
-    op7_secrets, op8_quality, op9_token_counts, op10_jaccard_join)}
+    op7_secrets, op8_quality, op9_token_counts, op10_jaccard_join, op11_quality_rules,
+    op12_hard_negatives, op13_periodic_runs)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
@@ -69,4 +88,5 @@ ORACLE_SQL = {
         WINDOW same AS (PARTITION BY t)""",
     "op2_packing": packing.oracle(),
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
