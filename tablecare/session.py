@@ -2,14 +2,13 @@
 
 Library code never creates a session; it takes the caller's. ``shared_dir`` is
 the one place that decides where intermediate tables and run outputs go: the
-cluster's ``spark.checkpoint.dir`` (a shared file system), never a machine-local
-temporary folder. Only when the setting is absent (local tests) does it pick a
-fresh scratch folder and record it on the session.
+cluster's ``spark.checkpoint.dir`` (a shared file system), never a folder of one
+machine. Where the setting is absent it raises; tests and benches on one machine
+name a folder when they make their session.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,8 +17,11 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tablecare") -> SparkSession:
-    """A local session configured like the cluster settings we rely on."""
+                  app: str = "tablecare", shared: str | None = None) -> SparkSession:
+    """A local session configured like the cluster settings we rely on.
+
+    ``shared`` is used as the shared folder only where ``spark.checkpoint.dir`` is unset.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -37,6 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if shared and not spark.conf.get(CHECKPOINT_KEY, None):
+        spark.sparkContext.setCheckpointDir(shared)
     return spark
 
 
@@ -51,7 +55,7 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """Root folder shared by all executors (``spark.checkpoint.dir``).
 
-    Read from the session; set only when unset (tests on one machine).
+    Read from the session: its setting, or the checkpoint folder that was set on its context.
     """
     sc = _context(spark)
     path = spark.conf.get(CHECKPOINT_KEY, None)
@@ -59,10 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
         # getCheckpointDir() returns <dir>/<uuid>; keep its parent
         path = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not path:
-        if sc is None or not sc.master.startswith("local["):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="tablecare-")
-        spark.conf.set(CHECKPOINT_KEY, path)
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path.rstrip("/")

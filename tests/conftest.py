@@ -11,12 +11,11 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from tablecare.session import local_session, shared_dir
+def spark(tmp_path_factory):
+    from tablecare.session import local_session
 
-    s = local_session("4", shuffle_partitions=8, app="tablecare-tests")
-    shared_dir(s)  # unset in tests: a fresh scratch folder is recorded on the session
-    yield s
+    yield local_session("4", shuffle_partitions=8, app="tablecare-tests",
+                        shared=str(tmp_path_factory.mktemp("shared")))
 
 
 def rows(df, cols=None):
