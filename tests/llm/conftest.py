@@ -13,10 +13,8 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from tablecare.session import local_session
 
-    s = local_session("4", shuffle_partitions=4, app="llm-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return s
+    return local_session("4", shuffle_partitions=4, app="llm-tests",
+                         shared=str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture(scope="session")
