@@ -23,9 +23,10 @@ text), frames are walked and both checksums verified. The walk also yields the
 offset index (file, record offset and length, ids, first token), written as
 Parquet beside the data, so a shuffled reader can fetch any record by itself.
 
-Encoding: the public tokenizer splits at a space that is followed by a
-non-space and never merges across that point, so each worker encodes a word
-once and keeps its ids.
+Encoding: the public tokenizer splits before a space or line feed that is
+followed by a character that is no white space, and never merges across that
+point. So each worker cuts texts there, encodes each distinct unit once and
+keeps its ids; whole texts are then gathered from one flat array of ids.
 
 Defined cases: NULL text counts as ''; every document ends with ``end_id``;
 NULL ids sort first; rows with equal ids are all kept (``start`` among them
@@ -35,21 +36,22 @@ an empty index; other columns are not read.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablecare.llm.common import id_text, min_partitions, worker_cache
 from tablecare.session import fresh_dir
 
-UNIT_START = re.compile(r" (?=\S)")
 KEEP_CHARS = 48
+SLICE_BYTES = 4 << 20
 KEEP_UNITS = 600_000
 HEAD, TAIL, PREFIX = "<QI", "<I", "<Bq"     # struct formats
 HEAD_SIZE, TAIL_SIZE, PREFIX_SIZE = 12, 4, 9
@@ -89,7 +91,8 @@ def records(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
 
 
 class Encoder:
-    """Ids of a text as bytes; words are encoded once and kept, in two generations."""
+    """Ids of texts. Arrow cuts and numbers the units of many texts at once, so that only distinct
+    units reach Python; each unit is encoded once and its ids are kept in one flat array."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -97,53 +100,126 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
-        # tokens that begin with a space: each word of joined words starts with one
+        # tokens that begin with a space or are a line feed: each joined unit starts with one
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
-        self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _each(self, units: list[str]) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch(units, add_special_tokens=False)
-        return {u: np.array(e.ids, dtype=f"<u{self.width}").tobytes() for u, e in zip(units, got)}
-
-    def _joined(self, words: list[str]) -> dict[str, bytes]:
-        """Words that start with a space and hold no other white space, in one go."""
+        self.opens[[i for t, i in vocab.items() if t.startswith(("\u0120", "\u010a"))]] = True
+        self.flat = np.empty(1 << 16, f"<u{self.width}")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.starts, self.size = np.zeros(1 << 12, np.int64), 0    # unit k: flat[starts[k]:starts[k+1]]
+
+    def _append(self, first: int, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Ids of the units numbered from ``first``, one after the other."""
+        while self.size + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while first + len(lengths) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+        self.flat[self.size:self.size + len(ids)] = ids
+        self.starts[first] = self.size
+        self.starts[first + 1:first + 1 + len(lengths)] = self.size + np.cumsum(lengths)
+        self.size += len(ids)
+
+    def _each(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in units],
+                                               add_special_tokens=False)
+        ids = [e.ids for e in got]
+        return (np.fromiter(chain.from_iterable(ids), self.flat.dtype),
+                np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _joined(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Units that start with a space or line feed and hold no other white space, in one go.
+        Each has one token at least that opens it, so as many openings as units are one each."""
         ids = np.array(self.tokenizer.encode_batch_fast(
-            ["".join(words)], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
+            [b"".join(units).decode("utf-8")], add_special_tokens=False)[0].ids, self.flat.dtype)
         starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(words):
-            return self._each(words)
-        raw, cuts = ids.tobytes(), [*(starts * self.width).tolist(), len(ids) * self.width]
-        return {w: raw[i:j] for w, i, j in zip(words, cuts, cuts[1:])}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for t in texts:
-            first, *rest = UNIT_START.split(t)
-            split.append([first, *[" " + u for u in rest]])
-        units = {u for part in split for u in part}
-        new = units - self.kept.keys()
-        if len(self.kept) + len(new) > KEEP_UNITS // 2:
-            self.older, self.kept, new = self.kept, {}, units
-        found = {u: self.older[u] for u in new & self.older.keys()}
-        words, others = [], []
-        for u in new - found.keys():
-            (words if u[:1] == " " and len(u.split()) == 1 and u[-1:].strip() and len(u) > 1
-             else others).append(u)
-        for i in range(0, len(words), 1000):
-            found |= self._joined(words[i:i + 1000])
-        if others:
-            found |= self._each(others)
-        self.kept |= found
-        ids = [b"".join(map(self.kept.__getitem__, part)) for part in split]
-        for u in others:
-            if len(u) > KEEP_CHARS:
-                del self.kept[u]
-        for u in words:
-            if len(u) > KEEP_CHARS:
-                del self.kept[u]
-        return ids
+        if len(starts) != len(units):
+            return self._each(units)
+        return ids, np.diff(starts, append=len(ids))
+
+    def _encode_units(self, units: list[bytes], first: int) -> list[int]:
+        """Number and keep units from ``first``; their order."""
+        plain, rest = [], []
+        for k, u in enumerate(units):
+            (plain if u[0] in b" \n" and u[-1] > 32 and len(u.split()) == 1 else rest).append(k)
+        for some, encode in ([(plain[at:at + 1000], self._joined) for at in range(0, len(plain), 1000)]
+                             + [(rest, self._each)] * bool(rest)):
+            self._append(first, *encode([units[k] for k in some]))
+            first += len(some)
+        return plain + rest
+
+    def _numbers(self, units: list[bytes]) -> tuple[np.ndarray, int]:
+        """The number of each unit, encoding new ones, and the size to shrink to: long units are
+        numbered last and not kept."""
+        if len(self.number) + len(units) > KEEP_UNITS:
+            self._forget()
+        found = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(found < 0)
+        long = np.array([len(units[k]) > KEEP_CHARS for k in new.tolist()], bool)
+        at = len(self.number)
+        for part, keep in ((new[~long], True), (new[long], False)):
+            order = part[self._encode_units([units[k] for k in part.tolist()], at)] if len(part) else part
+            found[order] = np.arange(at, at + len(order))
+            if keep:
+                self.number.update(zip([units[k] for k in order.tolist()], range(at, at + len(order))))
+                size = self.size
+            at += len(order)
+        return found, size
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian bytes."""
+        texts = (pa.array(texts, pa.string()) if isinstance(texts, list) else texts).cast(pa.binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        if offsets[0] == offsets[-1]:
+            return [b""] * len(texts)
+        values = texts.buffers()[2]
+        data = np.frombuffer(values, np.uint8)[offsets[0]:offsets[-1]]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets - offsets[0]] = True
+        edge[unit_starts(data, edge)] = True
+        bounds = np.flatnonzero(edge) + offsets[0]
+        units = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+            None, pa.py_buffer(bounds.astype(np.int32)), values]).dictionary_encode()
+        numbers, size = self._numbers(units.dictionary.to_pylist())
+        unit = numbers[units.indices.to_numpy()]
+        lengths = self.starts[unit + 1] - self.starts[unit]
+        ends = np.cumsum(lengths)
+        take = np.repeat(self.starts[unit] - ends + lengths, lengths)
+        take += np.arange(len(take))
+        raw = self.flat[take].tobytes()
+        self.size = size
+        cuts = np.concatenate(([0], ends))[np.searchsorted(bounds, offsets)] * self.width
+        return [raw[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+def unit_starts(data: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Places of a space or line feed right before a character that is no white space.
+
+    The tokenizer parts its pieces there: of a run of white space it splits off the last character,
+    which opens the next piece (a space) or is one (a line feed). ``edge`` marks where texts start
+    and end: nothing is looked at across.
+    """
+    at = np.flatnonzero((data == 32) | (data == 10))
+    at = at[~edge[at + 1]]
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    a, b, c = padded[at + 1], padded[at + 2], padded[at + 3]
+    space = (a <= 0x20) | ((a == 0xC2) & ((b == 0x85) | (b == 0xA0)))
+    # white space of three bytes: U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000
+    space |= (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+    space |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    space |= ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+    return at[~space]
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``SLICE_BYTES`` of text, one row at least."""
+    sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes) // SLICE_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(edges, edges[1:]):
+        if j > i:
+            yield batch.slice(i, j - i)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, file_mb: int = 48,
@@ -162,9 +238,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, file
         encoder = worker_cache(("encoder", tokenizer_path), lambda: Encoder(tokenizer_path))
         end = end_id.to_bytes(encoder.width, "little")
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                ids = encoder.encode(part.column(1).to_pylist())
+            for part in slices(b, 1):
+                ids = encoder.encode(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([frame(d, i + end, encoder.width)
                                for d, i in zip(part.column(0).to_pylist(), ids)], pa.binary())],
