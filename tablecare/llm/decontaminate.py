@@ -1,18 +1,25 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Text is folded one character to one (lower case letters and digits, anything
-else a space), so positions are those of the original. A benchmark passage of m
+Text is folded (lower case letters and digits; each run of anything else is one
+space, so indents, rules and re-wrapped lines cost no edits) and the place of
+every folded character is kept. A benchmark passage of m folded
 characters found with at most k = floor(error_rate * m) edits shares at least
 m + 1 - q * (k + 1) q-grams with the matching region, all on diagonals (text
 position - passage position) within k of each other. Per document:
 
 1. look up every q-gram in the passages' q-grams (a small bitmap of hashes
-   first, then a sorted table);
+   first, then a sorted table); a stretch with more than ``HITS`` of them is halved
+   and then taken a group of passages at a time, so memory stays bounded;
 2. count hits per (passage, band), bands being 2(k + 1) diagonals wide and
    overlapping by half, so every such region lies whole in one band;
 3. keep bands that reach the bound and verify them by banded alignment, which
    gives the edits and the exact region.
 
+A q-gram with more than ``COMMON`` places in the benchmark says little and may hit
+everywhere. A passage with z places of such q-grams still
+shares its bound less z of the others; where that is 1 or more, this bound is
+used for it and those q-grams are not looked up, and nothing is lost.
+
 Passages for which the bound is below 1 get the largest k that keeps it at 1;
 passages shorter than q are found only where they occur unchanged, as whole
 words. Passages without a letter or digit are never found.
@@ -32,6 +39,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,6 +49,8 @@ from pyspark.sql import DataFrame
 from tablecare.llm.common import id_text, quoted, worker_cache
 
 SLICE = 1 << 18
+HITS = 1 << 21                  # q-gram hits held at once
+COMMON = 1024
 SCHEMA = "doc_id long, item_id long, start long, end long, edits int, shared_qgrams int"
 ONE = np.int64(1) << 32         # one edit in packed (edits, start) costs
 
@@ -56,9 +66,20 @@ def fold_table() -> np.ndarray:
     return table
 
 
-def fold(text: str) -> np.ndarray:
+def fold_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Folded characters and the place of each in the text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return worker_cache("fold table", fold_table)[codes]
+    codes = worker_cache("fold table", fold_table)[codes]
+    space = codes == 32
+    keep = ~space
+    keep[:1] = True
+    keep[1:] |= ~space[:-1]
+    places = np.flatnonzero(keep)
+    return codes[places], places
+
+
+def fold(text: str) -> np.ndarray:
+    return fold_places(text)[0]
 
 
 def qgram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
@@ -122,10 +143,21 @@ class Index:
         pos = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(self.hash, kind="stable")
         self.hash, self.item, self.pos = self.hash[order], item[order], pos[order]
+        self._leave_common()
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.hash >> np.uint64(44)] = True
         self.reach = int((m + 4 * (self.k + 1)).max()) if len(m) else 0
 
+    def _leave_common(self) -> None:
+        """Drop common q-grams of passages whose bound allows it, and lower that bound."""
+        _, places = np.unique(self.hash, return_counts=True)
+        common = np.repeat(places > COMMON, places)
+        lost = np.bincount(self.item[common], minlength=len(self.m))
+        can = self.need - lost >= 1
+        self.need = np.where(can, self.need - lost, self.need)
+        keep = ~(common & can[self.item]) if len(self.item) else common
+        self.hash, self.item, self.pos = self.hash[keep], self.item[keep], self.pos[keep]
+
     def find(self, codes: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item, start, end, edits, shared q-grams) of all regions, each once."""
         found = {}
@@ -139,48 +171,98 @@ class Index:
     @staticmethod
     def _best(regions: list) -> list:
         """Of regions of one passage that overlap, the one with the fewest edits."""
-        out: list = []
+        taken: dict[int, list] = {}     # per passage: disjoint (start, end, region), in order
         for r in sorted(regions, key=lambda r: (r[3], r[0], r[1], r[2])):
-            if not any(o[0] == r[0] and o[1] < r[2] and r[1] < o[2] for o in out):
-                out.append(r)
-        return sorted(out)
+            mine = taken.setdefault(r[0], [])
+            k = bisect_left(mine, (r[1], r[2]))
+            if not (k and mine[k - 1][1] > r[1]) and not (k < len(mine) and mine[k][0] < r[2]):
+                mine.insert(k, (r[1], r[2], r))
+        return sorted(r for mine in taken.values() for _, _, r in mine)
 
     def _slice(self, codes: np.ndarray) -> list:
         out = self._exact(codes) if self.short else []
+        return out + self._similar(codes)
+
+    def _similar(self, codes: np.ndarray) -> list:
         h = qgram_hashes(codes, self.q)
         where = np.flatnonzero(self.seen[h >> np.uint64(44)]) if len(self.hash) else []
         if not len(where):
-            return out
+            return []
         h = h[where]
         lo = np.searchsorted(self.hash, h, "left")
         n = np.searchsorted(self.hash, h, "right") - lo
         where, lo, n = where[n > 0], lo[n > 0], n[n > 0]
         if not len(n):
-            return out
-        entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        item = self.item[entry]
-        diagonal = np.repeat(where, n) - self.pos[entry]
-        size = self.k[item] + 1
-        shift = int(self.m.max())
-        band = (diagonal + shift) // size
-        bands = int(band.max()) + 2
-        key = item * bands + band
-        key = np.concatenate([key, key[band > 0] - 1])
-        key, shared = np.unique(key, return_counts=True)
-        item, band = key // bands, key % bands
-        keep = shared >= self.need[item]
-        item, band, shared = item[keep], band[keep], shared[keep]
+            return []
+        if n.sum() > HITS and len(codes) > 4 * self.reach:
+            half = len(codes) // 2
+            return (self._similar(codes[:half + self.reach])
+                    + [(i, half + s, half + t, e, g) for i, s, t, e, g in self._similar(codes[half:])])
+        keys, counts = [], []
+        for passages in self._groups(lo, n):
+            key, shared = self._count(len(codes), where, lo, n, passages)
+            keys.append(key)
+            counts.append(shared)
+        bands = self._bands(len(codes))
+        key, shared = np.concatenate(keys), np.concatenate(counts)
+        return self._verify(codes, key // bands, key % bands, shared)
+
+    def _bands(self, length: int) -> int:
+        """More than any band number of a stretch of this length."""
+        return length + int(self.m.max()) + 2
+
+    def _groups(self, lo: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of passages with about ``HITS`` hits each (one passage at least)."""
+        if n.sum() <= HITS:
+            return [(0, len(self.m))]
+        used = np.zeros(len(self.hash) + 1, np.int64)       # hits of each entry of the table
+        np.add.at(used, lo, 1)
+        np.add.at(used, lo + n, -1)
+        per = np.bincount(self.item, np.cumsum(used)[:-1], minlength=len(self.m))
+        run = np.cumsum(per) // HITS
+        edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(self.m)]
+        return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+
+    def _count(self, length: int, where, lo, n,
+               passages: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(passage and band, shared q-grams) of the bands of these passages that reach the bound."""
+        size, shift = self.k + 1, int(self.m.max())
+        bands = self._bands(length)
+        everything = passages == (0, len(self.m))
+        held: list[np.ndarray] = []
+        run = np.cumsum(n) // HITS
+        edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(n)]
+        for a, b in zip(edges, edges[1:]):
+            many = n[a:b]
+            entry = np.repeat(lo[a:b] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            spot = np.repeat(where[a:b], many)
+            if not everything:
+                mine = (self.item[entry] >= passages[0]) & (self.item[entry] < passages[1])
+                entry, spot = entry[mine], spot[mine]
+            item = self.item[entry]
+            band = (spot - self.pos[entry] + shift) // size[item]
+            key = item * bands + band
+            held.append(np.concatenate([key, key[band > 0] - 1]))
+        key, shared = np.unique(np.concatenate(held), return_counts=True)
+        keep = shared >= self.need[key // bands]
+        return key[keep], shared[keep]
+
+    def _verify(self, codes, item, band, shared) -> list:
+        out, shift = [], int(self.m.max()) if len(self.m) else 0
         for i in np.unique(item):
             mine, size, m = item == i, int(self.k[i]) + 1, int(self.m[i])
-            first = band[mine] * size - shift
-            spot = first[:, None] + np.arange(m + 2 * size - 1)
-            inside = (spot >= 0) & (spot < len(codes))
-            window = np.where(inside, codes[np.clip(spot, 0, len(codes) - 1)], 0)
-            edits, start, end = banded_alignment(self.texts[i], window, size - 1)
-            for f, e, s, t, g in zip(first, edits, start, end, shared[mine]):
-                if e <= self.k[i]:
-                    s, t = max(0, f + s), min(len(codes), f + t)
-                    out.append((int(i), int(s), int(t), int(e), int(g)))
+            firsts, grams = band[mine] * size - shift, shared[mine]
+            step = max(1, HITS // (m + 2 * size))
+            for at in range(0, len(firsts), step):
+                first = firsts[at:at + step]
+                spot = first[:, None] + np.arange(m + 2 * size - 1)
+                inside = (spot >= 0) & (spot < len(codes))
+                window = np.where(inside, codes[np.clip(spot, 0, len(codes) - 1)], 0)
+                edits, start, end = banded_alignment(self.texts[i], window, size - 1)
+                for f, e, s, t, g in zip(first, edits, start, end, grams[at:at + step]):
+                    if e <= self.k[i]:
+                        s, t = max(0, f + s), min(len(codes), f + t)
+                        out.append((int(i), int(s), int(t), int(e), int(g)))
         return out
 
     def _exact(self, codes: np.ndarray) -> list:
@@ -236,8 +318,9 @@ def find(docs: DataFrame, benchmark: DataFrame, q: int = 8, error_rate: float =
             for b in batches:
                 hits = []
                 for doc_id, text in zip(b.column(0), b.column(1)):
-                    hits += [(doc_id.as_py(), index.ids[i], *rest)
-                             for i, *rest in index.find(fold(text.as_py()))]
+                    codes, places = fold_places(text.as_py())
+                    hits += [(doc_id.as_py(), index.ids[i], int(places[s]), int(places[t - 1]) + 1, *rest)
+                             for i, s, t, *rest in index.find(codes)]
                 if hits:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*hits), types)], names=names)
