@@ -28,8 +28,10 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +103,13 @@ class Lexicon:
                 spared.append((start, end + 1))
             else:       # one weight per word, the largest
                 hits[start] = max(weight, hits.get(start, 0.0))
-        total = sum(w for s, w in hits.items() if not any(a <= s < b - 1 for a, b in spared))
+        spared.sort()
+        starts, ends = [a for a, _ in spared], list(accumulate((b - 1 for _, b in spared), max))
+        total = 0.0
+        for s, w in hits.items():       # spared: the furthest end of the phrases begun by then is beyond
+            k = bisect_right(starts, s)
+            if not (k and ends[k - 1] > s):
+                total += w
         return total / math.log(math.e + folded.count(" "))
 
     def score(self, feature: float) -> float:
@@ -141,12 +149,17 @@ def _contexts(rows: DataFrame) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 5,
           remainder: int = 0, sample: int = 2500, min_contexts: int = 5, min_log_odds: float = 3.0,
-          max_entries: int = 5000) -> Lexicon:
+          max_entries: int = 200_000) -> Lexicon:
     """Fit the lexicon on a sample of at most ``2 * sample`` labelled rows.
 
-    It has at most ``max_entries`` entries, those in the most toxic contexts, and at most
-    as many exception phrases, those in the most clean contexts; phrases of every entry count.
+    The sample alone bounds entries and exception phrases; more than ``max_entries`` of either,
+    which the driver and each worker would hold, raise instead of being cut.
     """
+    def bounded(rows: list, what: str) -> list:
+        if len(rows) > max_entries:
+            raise ValueError(f"more than {max_entries} {what}: take a smaller sample or more contexts")
+        return rows
+
     rows = labelled_sample(docs, labels, label, divisor, remainder, sample).cache()
     contexts = _contexts(rows).cache()
     forms = [F.concat(F.lit(" "), F.col("word"), F.lit(" "))] + [
@@ -157,9 +170,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
     whole = contexts.agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = (whole["bad"] or 0) + 1.0, whole["n"] - (whole["bad"] or 0) + 1.0
     odds = F.log(((F.col("bad") + 0.5) / bad) / ((F.col("n") - F.col("bad") + 0.5) / good))
-    best = (counts.withColumn("odds", odds)
-            .filter((F.col("bad") >= min_contexts) & (F.col("odds") >= min_log_odds))
-            .orderBy(F.desc("bad"), "entry").limit(max_entries).collect())
+    best = bounded(counts.withColumn("odds", odds)
+                   .filter((F.col("bad") >= min_contexts) & (F.col("odds") >= min_log_odds))
+                   .limit(max_entries + 1).collect(), "lexicon entries")
     chosen: dict[str, float] = {}
     for r in sorted(best, key=lambda r: (len(r["entry"]), r["entry"])):
         stem = r["entry"].rstrip(" ")
@@ -174,9 +187,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
         pairs = found.select("label", F.explode(F.array(
             F.concat_ws(" ", F.lit(""), "before", "word", F.lit("")),
             F.concat_ws(" ", F.lit(""), "word", "after", F.lit("")))).alias("pair"))
-        pair_rows = (pairs.groupBy("pair").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
-                     .filter((F.col("n") - F.col("bad") >= 3) & (F.col("bad") <= 0.05 * F.col("n")))
-                     .orderBy(F.desc(F.col("n") - F.col("bad")), "bad", "pair").limit(max_entries).collect())
+        spares = (F.col("n") - F.col("bad") >= 3) & (F.col("bad") <= 0.05 * F.col("n"))
+        pair_rows = bounded(
+            pairs.groupBy("pair").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
+            .filter(spares).limit(max_entries + 1).collect(), "exception phrases")
     lexicon = Lexicon(chosen, [r["pair"] for r in pair_rows if "  " not in r["pair"]], 0.0, 0.0)
     lexicon = calibrate(rows, lexicon)
     contexts.unpersist()
