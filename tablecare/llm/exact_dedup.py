@@ -69,15 +69,21 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 salts: int = 16) -> DataFrame:
-    """The input rows that stay, with the input's columns; equal rows stay once."""
-    winners = groups(docs, id_col, text_col, salts).select("keep_id", *IDENTITY)
-    text = F.coalesce(quoted(text_col), F.lit(""))
-    row = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"),
-                      quoted(id_col).cast("long").alias("doc_id"),
-                      F.unhex(F.sha2(text, 256)).alias("digest"),
-                      F.xxhash64(text).alias("hash64"), F.octet_length(text).alias("length"))
-    same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    for c in IDENTITY:
-        same = same & (row[c] == winners[c])
-    return (row.join(winners, same, "left_semi")
-            .dropDuplicates(["doc_id", *IDENTITY]).select("row.*"))
+    """The input rows that stay, with the input's columns; equal rows stay once.
+
+    The same combining, but the winner's other columns travel with it, so nothing is joined back
+    and each text is shuffled twice at most. Of rows equal in id and text, the one of greatest
+    hash of its other columns stays.
+    """
+    others = [c for c in docs.columns if c != text_col]
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
+    row = F.struct(quoted(text_col).isNull().alias("no_text"),
+                   *[quoted(c).alias(f"c{k}") for k, c in enumerate(others)])
+    rows = docs.select(F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"),
+                       F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"), row.alias("row"),
+                       F.struct(quoted(id_col).cast("long"), F.xxhash64(F.to_json(row))).alias("rank"))
+    for keys in (["digest", "text", "salt"], ["digest", "text"]):
+        rows = rows.groupBy(*keys).agg(F.max_by("row", "rank").alias("row"), F.max("rank").alias("rank"))
+    back = {c: F.col(f"row.c{k}") for k, c in enumerate(others)}
+    back[text_col] = F.when(~F.col("row.no_text"), F.col("text"))
+    return rows.select(*[back[c].alias(c) for c in docs.columns])
