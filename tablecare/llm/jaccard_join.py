@@ -465,10 +465,11 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
     members = stage(told.select("doc_id", "n", "digest"), "members")
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(min_partitions(rows), -(-total // (3 * BUCKET_TOKENS)))
-    # one node per distinct set
-    nodes = (told.filter("n > 0").groupBy("digest")
-             .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
-                  F.first("prefix").alias("tokens")))
+    # one node per distinct set; staged, since the marks of frequent tokens hang on the order of
+    # rows, which a task that is run again must meet unchanged
+    nodes = stage(told.filter("n > 0").groupBy("digest")
+                  .agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
+                       F.first("prefix").alias("tokens")), "nodes")
     alive = stage(_prefixes(_classes(nodes, buckets, rare),
                             bounds.extra_col(bounds.least_col("n"))), "prefixes")
     single = _singles(alive)
