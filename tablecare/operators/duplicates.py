@@ -22,10 +22,24 @@ Scale design of ``method="fingerprint"``, which is used only where asked for:
    combined map-side by the aggregate; the join back leaves skew to AQE's
    skew-join split.
 
+``method="staged"``, the default at every size, computes the rows once:
+
+1. The rows and a 128-bit identity of their key values (two 64-bit hashes of the
+   values and of their NULL pattern) are written to the shared folder; whatever
+   made the rows (cleaning, date parsing) runs once, however often they are read.
+2. Identities are counted: 16 bytes a row, combined map-side, then per salt, then
+   whole, so a group of copies holding a third of the table is one row a task.
+   Without ``null_safe``, rows with a NULL key are not counted at all.
+3. Rows of repeated identities only are grouped by their full values. An identity
+   that turns out to hold two kinds of rows (a collision) is decided on the
+   values; all others are decided.
+4. The staged rows are joined with the repeated identities, which AQE broadcasts
+   where their files are small and splits where one identity is hot.
+
 ``method="join"`` is the plain form (aggregate on all columns, left join back
-on all columns), the default at every size: whole rows are shuffled for the
-aggregate (map-side partial) and again for the join, which leaves skew to AQE's
-skew-join split.
+on all columns), lazy: whole rows are computed and shuffled for the aggregate
+(map-side partial) and again for the join, which leaves skew to AQE's skew-join
+split.
 """
 
 from __future__ import annotations
@@ -37,6 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tablecare.functions.columns import all_not_null
+from tablecare.session import stage_table
 
 
 DEFAULT_FLAG = "duplicate_row"
@@ -93,8 +108,9 @@ def _flag_by_join(df: DataFrame, keys: list[str], flag: str, null_safe: bool) ->
     return joined.select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag))
 
 
-def fingerprint(keys: Sequence[str]) -> Column:
-    """64-bit hash of the key values and of their NULL pattern; never NULL.
+def fingerprint(keys: Sequence[str], seed: int | None = None) -> Column:
+    """64-bit hash of the key values and of their NULL pattern; never NULL. Another ``seed``
+    gives an independent hash.
 
     ``xxhash64`` skips NULL inputs, so the NULL pattern is hashed too, keeping
     ``(NULL, 'a')`` and ``('a', NULL)`` apart. Being non-nullable matters for
@@ -102,7 +118,8 @@ def fingerprint(keys: Sequence[str]) -> Column:
     projection, which would evaluate every cleaning expression twice.
     """
     cols = [F.col(f"`{k}`") for k in keys]
-    return F.xxhash64(F.array(*[c.isNull() for c in cols]), *cols)
+    return F.xxhash64(*([] if seed is None else [F.lit(seed)]),
+                      F.array(*[c.isNull() for c in cols]), *cols)
 
 
 def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: bool,
@@ -143,19 +160,54 @@ def _flag_by_fingerprint(df: DataFrame, keys: list[str], flag: str, null_safe: b
     return plain.unionByName(confirmed)
 
 
+IDENTITY = ["__id1", "__id2"]
+SALTS = 16
+
+
+def _flag_staged(df: DataFrame, keys: list[str], flag: str, null_safe: bool) -> DataFrame:
+    counted = F.lit(True) if null_safe else all_not_null([f"`{k}`" for k in keys])
+    rows = stage_table(df.select(
+        *[F.col(f"`{c}`") for c in df.columns], fingerprint(keys).alias(IDENTITY[0]),
+        fingerprint(keys, seed=1).alias(IDENTITY[1]), counted.alias("__counted")), "rows")
+    repeated = stage_table(
+        rows.where("__counted").select(*IDENTITY, F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("__salt"))
+        .groupBy(*IDENTITY, "__salt").agg(F.count(F.lit(1)).alias("__n"))
+        .groupBy(*IDENTITY).agg(F.sum("__n").alias("__n")).where("__n > 1")
+        .select(*IDENTITY, F.lit(True).alias("__dup")), "repeated")
+    kinds = (rows.where("__counted").join(repeated, IDENTITY, "left_semi")
+             .groupBy(*IDENTITY, *keys).agg(F.count(F.lit(1)).alias("__n")))
+    mixed = stage_table(kinds.groupBy(*IDENTITY).agg(F.count(F.lit(1)).alias("__kinds"))
+                        .where("__kinds > 1").drop("__kinds"), "mixed")
+    l, r = rows.alias("l"), repeated.alias("r")
+    same = F.lit(True)
+    for i in IDENTITY:
+        same = same & (_ref("l", i) == _ref("r", i))
+    is_dup = F.coalesce(_ref("r", "__dup"), F.lit(False)) & _ref("l", "__counted")
+    if mixed.isEmpty():
+        out = l.join(r, same, "left")
+    else:       # two kinds of rows under one 128-bit identity: their values decide
+        single = kinds.join(mixed, IDENTITY, "left_semi").where("__n = 1").withColumn("__single", F.lit(True))
+        out = l.join(r, same, "left").join(
+            single.alias("s"), _key_match(keys, True, "l", "s"), "left")
+        is_dup = is_dup & F.col("s.__single").isNull()
+    return out.select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag))
+
+
 def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None,
                     flag: str = DEFAULT_FLAG, null_safe: bool = False,
-                    method: str = "join",
+                    method: str = "staged",
                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every row of ``df`` once, plus a non-NULL boolean ``flag`` column.
 
-    ``keys`` defaults to all columns. ``method`` is ``join`` (lazy, the
-    same plan at every size) or ``fingerprint`` (one eager pass, then narrow
-    shuffles); both give the same rows. See the module notes.
+    ``keys`` defaults to all columns. ``method`` is ``staged`` (rows computed once, into the
+    shared folder), ``join`` (lazy, rows computed twice) or ``fingerprint`` (one eager pass, then
+    narrow shuffles); all give the same rows. See the module notes.
     """
     keys = _keys(df, keys)
     if flag in df.columns:
         raise ValueError(f"flag column {flag!r} already exists")
+    if method == "staged":
+        return _flag_staged(df, keys, flag, null_safe)
     if method == "join":
         return _flag_by_join(df, keys, flag, null_safe)
     if method == "fingerprint":

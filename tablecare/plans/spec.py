@@ -70,7 +70,7 @@ def _duplicates(df: DataFrame, step: Step) -> DataFrame:
     return flag_duplicates(df, keys=list(step.columns) or None,
                            flag=opts.get("flag", "duplicate_row"),
                            null_safe=opts.get("null_safe", False),
-                           method=opts.get("method", "join"))
+                           method=opts.get("method", "staged"))
 
 
 def _null_check(df: DataFrame, step: Step) -> DataFrame:

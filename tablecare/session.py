@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -81,3 +81,27 @@ def remove_dir(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is not under the shared folder {root}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_staged: dict[str, list[str]] = {}      # application id -> folders of staged tables
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back.
+
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation. The
+    files stay until ``remove_staged``, since the result is read lazily.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, f"staged-{name}")
+    _staged.setdefault(spark.conf.get("spark.app.id", "") or "", []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete all tables this application has staged (call it once their readers are done)."""
+    paths = _staged.pop(spark.conf.get("spark.app.id", "") or "", [])
+    for path in paths:
+        remove_dir(spark, path)
+    return len(paths)

@@ -17,7 +17,7 @@ def brute(data, null_safe):
 
 def test_flag_semantics_all_methods(spark):
     df = spark.createDataFrame(DATA, SCHEMA)
-    for method in ("fingerprint", "join"):
+    for method in ("staged", "fingerprint", "join"):
         for ns in (False, True):
             got = rows(flag_duplicates(df, null_safe=ns, method=method))
             assert got == brute(DATA, ns), (method, ns)
@@ -25,7 +25,7 @@ def test_flag_semantics_all_methods(spark):
 
 def test_shuffle_join_path_matches_broadcast_path(spark):
     df = spark.createDataFrame(DATA, SCHEMA)
-    assert rows(flag_duplicates(df, broadcast_rows=0)) == brute(DATA, False)
+    assert rows(flag_duplicates(df, method="fingerprint", broadcast_rows=0)) == brute(DATA, False)
 
 
 def test_duplicate_groups_and_raw_left_join(spark):
@@ -52,3 +52,28 @@ def test_hot_group_of_copies(spark):
 def test_flag_property(spark, data, null_safe):
     df = spark.createDataFrame(data, SCHEMA)
     assert rows(flag_duplicates(df, null_safe=null_safe)) == brute(data, null_safe)
+
+
+def test_staged_computes_rows_once(spark):
+    from tablecare.plans.fixtures import dirty_orders
+    from tablecare.plans.spec import ORDERS_SPEC
+    from tablecare.session import remove_staged
+    from conftest import SF001
+
+    out = ORDERS_SPEC.upto("flag_duplicates").apply(dirty_orders(spark, SF001))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan and "to_date" not in plan      # the staged rows are read
+    assert out.count() and remove_staged(spark) >= 3
+    assert remove_staged(spark) == 0
+
+
+def test_collision_of_identities(spark, monkeypatch):
+    """Rows of two kinds under one identity are told apart by their values."""
+    from pyspark.sql import functions as F
+    from tablecare.operators import duplicates
+
+    monkeypatch.setattr(duplicates, "fingerprint",
+                        lambda keys, seed=None: F.length(F.coalesce(F.col("k"), F.lit(""))).cast("bigint"))
+    df = spark.createDataFrame(DATA + [("d", 9), ("d", 9)], SCHEMA)
+    for ns in (False, True):
+        assert rows(flag_duplicates(df, null_safe=ns)) == brute(DATA + [("d", 9), ("d", 9)], ns)

@@ -56,3 +56,24 @@ def test_profile_approx_close_to_exact(spark):
     approx = {r.column: r.distinct_count for r in P.profile(df, approx=True).collect()}
     assert exact == {"a": 997, "s": 5000}
     assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] for c in exact)
+
+
+def test_profile_types_and_empty(spark):
+    """Every type keeps equal from unequal; nested columns and empty tables have their rows."""
+    from tablecare.operators.profile import distinct_counts, profile
+
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (1, 1.5D, DATE'2020-01-01', TIMESTAMP'2020-10-25 00:30:00', true, 1.10BD, ' ', array(1), X'01'),
+          (1, -0.0D, DATE'2020-01-02', TIMESTAMP'2020-10-25 00:30:00', false, 1.1BD, '', array(1), X'0100'),
+          (2, 0.0D, NULL, NULL, NULL, 2BD, NULL, array(2), NULL),
+          (NULL, double('NaN'), NULL, NULL, true, NULL, 'x', NULL, X'')
+        AS t(i, d, day, ts, b, m, s, a, `x.y`)""")
+    got = {r["column"]: (r.null_count, r.blank_count, r.distinct_count) for r in profile(df).collect()}
+    assert got == {"i": (1, None, 3), "d": (0, None, 3), "day": (2, None, 3), "ts": (2, None, 2),
+                   "b": (1, None, 3), "m": (1, None, 3), "s": (1, 2, 4), "a": (1, None, 3),
+                   "x.y": (1, None, 4)}
+    empty = {r["column"]: r for r in profile(df.limit(0)).collect()}
+    assert set(empty) == set(df.columns) and {r.distinct_count for r in empty.values()} == {0}
+    assert [(r["column"], r.distinct_count) for r in distinct_counts(df, ["s"]).collect()] == [("s", 4)]
+    assert "Expand" not in profile(df.drop("a"))._jdf.queryExecution().executedPlan().toString()
