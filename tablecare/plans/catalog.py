@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecare.functions.text import Rule, categorize as categorize_col, short_name as short_name_col
-from tablecare.operators import duplicates, frames, profile as prof, split as sp, usage, validate
+from tablecare.operators import (duplicates, frames, profile as prof, profile_state, reconcile,
+                                 split as sp, usage, validate)
 from tablecare.plans.fixtures import dirty_orders, read_table
 from tablecare.plans.run import RunLayout, run_table
 from tablecare.plans.spec import ORDERS_SPEC, clean_table, tagged_table
 from tablecare.session import fresh_dir
-from tablecare.sources import files, sinks
+from tablecare.sources import files, manifest, sinks, versions
+from tablecare.streaming import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +180,68 @@ def q_read_run(spark, d):
     return files.read_run(spark, _warehouse(spark, d), RUN_B)
 
 
+def q_latest_survives(spark, d):
+    """A latest copy while its next version is broken off, and after the one that follows."""
+    root = fresh_dir(spark, "versions")
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    read = lambda: sinks.read_outputs(spark, root, "parquet", rows.schema)
+    versions.commit_version(spark, root, versions.write_version(rows.where("o_orderkey % 2 = 0"), root))
+    versions.write_version(rows.where("o_orderkey % 3 = 0"), root)      # written, never committed
+    during = read().withColumn("copy", F.lit("during"))
+    versions.commit_version(spark, root, versions.write_version(rows.where("o_orderkey % 5 = 0"), root))
+    return during.unionByName(read().withColumn("copy", F.lit("after"))).drop("run_id")
+
+
+def q_read_run_manifest(spark, d):
+    """One run's rows in a range of keys, from the files that its manifest names."""
+    root = fresh_dir(spark, "manifest")
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for run in (RUN_A, RUN_B):
+        sinks.load_warehouse(rows.repartitionByRange(6, "o_orderkey"), root, run)
+        manifest.write_manifest(spark, root, run)
+    return manifest.read_run_rows(spark, root, RUN_B, {"o_orderkey": (1000, 3000)})
+
+
+def q_stream_duplicates(spark, d):
+    """Copies that come in different files of one stream, each file a run: outcomes of all runs."""
+    root = fresh_dir(spark, "stream")
+    raw = dirty_orders(spark, d)
+    number = F.regexp_extract(F.col("`Order ID`"), r"\d+", 0).cast("long")
+    first = raw.dropDuplicates([RAW_ID])
+    again = raw.groupBy(*[f"`{c}`" for c in raw.columns]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parts = [first.where(number % 2 == 0), first.where(number % 2 == 1), again.drop("n")]
+    for part in parts:      # one file, so one run, each
+        part.coalesce(1).write.mode("append").options(**sinks.CSV_WRITE_OPTIONS).csv(f"{root}/in")
+    layout = RunLayout(f"{root}/out", "parquet")
+    ledger.start_ledger_stream(spark, f"{root}/in", files.string_schema(raw.columns), SPEC, layout,
+                               f"{root}/checkpoint").awaitTermination()
+    return sinks.read_outputs(spark, layout.runs, "parquet").drop("run_id")
+
+
+def q_reconcile_load(spark, d):
+    """Rows lost, doubled and changed by a load whose count agrees with its source."""
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    key = F.col("o_orderkey")
+    loaded = (rows.where(key % 97 != 5).unionByName(rows.where(key % 97 == 6))
+              .withColumn("o_custkey", F.when(key % 97 == 7, F.col("o_custkey") + 1)
+                          .otherwise(F.col("o_custkey"))))
+    root = fresh_dir(spark, "reconcile")
+    sinks.load_warehouse(loaded, root, RUN_A)
+    return reconcile.reconcile(rows, files.read_run(spark, root, RUN_A).drop("run_id"))
+
+
+def q_profile_merged(spark, d):
+    """Profile of two runs from their stored states, its estimates held against exact counts."""
+    root, rows = fresh_dir(spark, "states"), read_table(spark, d, "lineitem")
+    for run, part in ((RUN_A, 0), (RUN_B, 1), (RUN_A, 0)):
+        profile_state.save_state(rows.where(F.pmod("l_orderkey", F.lit(2)) == part), root, run)
+    merged = profile_state.merge_states(profile_state.read_states(spark, root))
+    exact = prof.distinct_counts(rows)
+    close = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.04 * F.col("distinct_count")
+    return merged.join(exact, "column").select("column", "schema", "null_count", "blank_count",
+                                               close.alias("distinct_close"))
+
+
 def q_validate_load(spark, d):
     table = files.read_runs(spark, _warehouse(spark, d))
     return validate.validate_load(table, RUN_A, "order_type", "status", "base_price")
@@ -334,6 +398,11 @@ QUERIES: dict[str, Query] = {
     "read_run": q_read_run,
     "sink_run_csv": q_sink_run_csv,
     "sink_latest_and_runs": q_sink_latest_and_runs,
+    "latest_survives": q_latest_survives,
+    "read_run_manifest": q_read_run_manifest,
+    "reconcile_load": q_reconcile_load,
+    "stream_duplicates": q_stream_duplicates,
+    "profile_merged": q_profile_merged,
     "sink_warehouse": q_sink_warehouse,
     "stamp_run_id": q_stamp_run_id,
     "preview": q_preview,

@@ -244,6 +244,7 @@ def build() -> dict[str, str]:
                             f"count(*) FILTER (WHERE NOT {QCOND}) AS clean_rows, "
                             f"count(*) FILTER (WHERE {QCOND}) AS quarantine_rows FROM s_flag")
     sql["plan_steps"] = flagged + tagged_sel
+    sql["stream_duplicates"] = flagged + tagged_sel
 
     sql["row_count"] = f"WITH dirty AS ({DIRTY}) SELECT count(*) AS rows FROM dirty"
     sql["distinct_counts"] = (f"WITH dirty AS ({DIRTY}) " + "\nUNION ALL\n".join(
@@ -256,6 +257,23 @@ def build() -> dict[str, str]:
     sql["profile"] = flagged + _profile_rows("s_flag", TYPES12)
     sql["profile_raw"] = f"WITH dirty AS ({DIRTY}) " + _profile_rows("dirty", RAW_TYPES)
     sql["profile_lineitem"] = _profile_rows("lineitem", LINEITEM)
+    sql["profile_merged"] = ('SELECT "column", schema, null_count, blank_count, true AS distinct_close '
+                             f"FROM ({sql['profile_lineitem']})")
+    sql["latest_survives"] = (
+        "SELECT o_orderkey, o_orderstatus, 'during' AS copy FROM orders WHERE o_orderkey % 2 = 0 UNION ALL "
+        "SELECT o_orderkey, o_orderstatus, 'after' AS copy FROM orders WHERE o_orderkey % 5 = 0")
+    sql["read_run_manifest"] = (f"SELECT o_orderkey, o_custkey, o_orderstatus, '{RUN_B}' AS run_id FROM orders "
+                                "WHERE o_orderkey BETWEEN 1000 AND 3000")
+    sql["reconcile_load"] = """
+        WITH loaded AS (
+          SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+                 o_orderstatus FROM orders WHERE o_orderkey % 97 <> 5
+          UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 97 = 6)
+        SELECT o_orderkey, o_custkey, o_orderstatus, sum(e)::BIGINT AS expected_copies,
+               sum(a)::BIGINT AS actual_copies
+        FROM (SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS e, 0 AS a FROM orders
+              UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, 0, 1 FROM loaded)
+        GROUP BY o_orderkey, o_custkey, o_orderstatus HAVING sum(e) <> sum(a)"""
     watch = ("Order Type", "Status", "Risk Level")
     sql["findings"] = (
         f"WITH dirty AS ({DIRTY}), p AS ({_profile_rows('dirty', RAW_TYPES)}), "

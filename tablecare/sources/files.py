@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tablecare.sources import versions
+
 CSV_OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",          # a leading byte-order mark is dropped from the first header
@@ -21,6 +23,16 @@ CSV_EXPORT_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep
 CSV_EXPORT_READ_OPTIONS = {**CSV_OPTIONS, **CSV_EXPORT_OPTIONS, "nullValue": "\u0000"}
 
 
+# Fixed value: characters that partition paths escape.
+PATH_SPECIAL = "\"#%'*/:=?\\{[]^\x7f"
+
+
+def run_folder(root: str, run_id: str) -> str:
+    """Folder of one run; special characters are escaped the way Spark reads them back."""
+    name = "".join(f"%{ord(c):02X}" if c < " " or c in PATH_SPECIAL else c for c in run_id)
+    return f"{root}/run_id={name}"
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Deal rows to ``partitions`` tasks, only where asked for (one file that cannot be split)."""
     return df if partitions is None else df.repartition(partitions)
@@ -73,7 +85,19 @@ def read_run(spark: SparkSession, root: str, run_id: str, fmt: str = "parquet",
              schema: StructType | None = None) -> DataFrame:
     """Rows of one run from a table partitioned by ``run_id``.
 
-    The equality on the partition column prunes directories before any file
-    is opened.
+    The run's own folder is opened, so no other run is listed. A run that is not there has no
+    rows; only then, and without a ``schema``, is the table listed for its columns.
     """
-    return read_runs(spark, root, fmt, schema).where(F.col("run_id") == F.lit(run_id))
+    folder = run_folder(root, run_id)
+    known = versions.exists(spark, folder)
+    if not known and schema is None:
+        return read_runs(spark, root, fmt).where(F.col("run_id") == F.lit(run_id))
+    fields = [f for f in schema.fields if f.name != "run_id"] if schema is not None else None
+    if not known:
+        return spark.createDataFrame([], StructType([*fields, StructField("run_id", StringType(), True)]))
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_EXPORT_READ_OPTIONS)
+    if fields is not None:
+        reader = reader.schema(StructType(fields))
+    return reader.load(folder).withColumn("run_id", F.lit(run_id).cast("string"))

@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tablecare.session import fresh_dir, remove_dir
-from tablecare.sources.files import CSV_EXPORT_OPTIONS, CSV_EXPORT_READ_OPTIONS, read_runs
-
-# Fixed value: characters that partition paths escape.
-PATH_SPECIAL = "\"#%'*/:=?\\{[]^\x7f"
+from tablecare.sources import versions
+from tablecare.sources.files import (CSV_EXPORT_OPTIONS, CSV_EXPORT_READ_OPTIONS, read_runs,
+                                     run_folder)
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -68,12 +67,6 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
         remove_dir(spark, path)
 
 
-def run_folder(root: str, run_id: str) -> str:
-    """Folder of one run; special characters are escaped the way Spark reads them back."""
-    name = "".join(f"%{ord(c):02X}" if c < " " or c in PATH_SPECIAL else c for c in run_id)
-    return f"{root}/run_id={name}"
-
-
 def write_run(tagged: DataFrame, root: str, run_id: str, fmt: str = "csv",
               partition_by: Sequence[str] = ("outcome",)) -> str:
     """Write clean and quarantine rows of one run in a single pass.
@@ -92,8 +85,14 @@ def with_run_id(df: DataFrame, run_id: str) -> DataFrame:
 
 
 def write_latest(written: DataFrame, latest: str, fmt: str = "csv") -> str:
-    """Replace the whole ``latest/`` copy with one run's rows (partitioned by outcome)."""
-    _writer(written, fmt, "overwrite", ("outcome",), dynamic=False).save(latest)
+    """Replace the whole ``latest/`` copy with one run's rows (partitioned by outcome).
+
+    A new version is written beside the current one and then switched to
+    (``sources.versions``): readers through ``read_outputs`` see the old copy or the new one.
+    """
+    version = versions.write_version(written, latest, fmt, ("outcome",),
+                                     CSV_WRITE_OPTIONS if fmt == "csv" else None)
+    versions.commit_version(written.sparkSession, latest, version)
     return latest
 
 
@@ -116,8 +115,10 @@ def read_outputs(spark: SparkSession, root: str, fmt: str = "csv", schema=None,
     """Read back outputs written by ``write_run``/``publish`` (partition columns restored).
 
     For CSV pass the written table's ``schema``; the ``run_id`` column is
-    typed as a string and kept as data where it is not a partition column.
+    typed as a string and kept as data where it is not a partition column. Of a
+    copy with versions the current one is read.
     """
+    root = versions.current_path(spark, root) or root
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.options(**CSV_EXPORT_READ_OPTIONS)
@@ -143,9 +144,11 @@ def append_jdbc(df: DataFrame, url: str, table: str, run_id: str,
                 batch_size: int = 10_000) -> None:
     """Append rows stamped with ``run_id`` to a database table over JDBC.
 
-    ``num_partitions`` caps concurrent connections; rows go in batches. JDBC
-    has no partition overwrite: run it once per run id, or load into a staging
-    table and merge on the database side to make reloads idempotent.
+    ``num_partitions`` caps concurrent connections; rows go in batches. JDBC has no partition
+    overwrite, so this call alone doubles a run that is loaded twice. The contract for a
+    repeat-safe load: append into a staging table of the run's own, and let the database, in
+    one transaction, delete the run from the target and insert the staged rows; then hold
+    the target's run against its source with ``operators.reconcile``.
     """
     stamped = df.withColumn("run_id", F.lit(run_id).cast("string"))
     (stamped.write.format("jdbc").mode("append")
