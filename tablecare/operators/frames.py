@@ -122,22 +122,36 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str | Column],
             .drop("__rank"))
 
 
-def named_map(df: DataFrame, group_cols: Sequence[str], name_col: str, value_col: str,
-              order_col: str, out: str = "named") -> DataFrame:
-    """Per group, a map from each name to its value; a repeated name keeps the last.
+def named_entries(df: DataFrame, group_cols: Sequence[str], name_col: str, value_col: str,
+                  order_col: str) -> DataFrame:
+    """Per group and name one row with its last value: the form without a bound on names.
 
-    "Last" is the row with the greatest ``order_col`` (NULL comes first, ties go to
-    the greatest value). The last value per (group, name) is one maximum (partial aggregation on the map side,
-    so a hot group is combined before the shuffle); the map is then built from
-    one entry per distinct name, so it is bounded by the name vocabulary, not by
-    the rows of the group. Rows with a NULL name carry no entry.
+    "Last" is the row with the greatest ``order_col`` (NULL comes first, ties go to the greatest
+    value), one maximum with partial aggregation, so a hot group is combined before the shuffle.
+    Rows with a NULL name carry no entry.
     """
-    last = (df.where(F.col(name_col).isNotNull())
+    return (df.where(F.col(name_col).isNotNull())
               .groupBy(*group_cols, name_col)
               .agg(F.max(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v")))["v"]
-                   .alias("__v")))
-    return (last.groupBy(*group_cols)
-                .agg(F.map_from_entries(
-                    F.array_sort(F.collect_list(F.struct(F.col(name_col).alias("key"),
-                                                         F.col("__v").alias("value"))))
-                ).alias(out)))
+                   .alias(value_col)))
+
+
+# A map or list with more entries raises: use the row form.
+MAX_NAMES = 10_000
+
+
+def named_map(df: DataFrame, group_cols: Sequence[str], name_col: str, value_col: str,
+              order_col: str, out: str = "named", max_names: int = MAX_NAMES) -> DataFrame:
+    """Per group, a map from each name to its value; a repeated name keeps the last.
+
+    The map is made of ``named_entries``, one per distinct name. A group with more than
+    ``max_names`` names raises; no more than ``max_names + 1`` entries of a group meet in a task.
+    """
+    last = named_entries(df, group_cols, name_col, value_col, order_col)
+    w = Window.partitionBy(*group_cols).orderBy(name_col)
+    few = last.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= max_names + 1)
+    entry = F.struct(F.col(name_col).alias("key"), F.col(value_col).alias("value"))
+    entries = few.groupBy(*group_cols).agg(F.array_sort(F.collect_list(entry)).alias("__entries"))
+    checked = F.when(F.size("__entries") <= max_names, F.map_from_entries("__entries")).otherwise(
+        F.raise_error(F.lit(f"more than {max_names} names in one group: use named_entries")))
+    return entries.select(*group_cols, checked.alias(out))

@@ -26,6 +26,17 @@ from pyspark.sql import functions as F
 MAX_EXAMPLES = 10
 
 
+# A key with more types raises in the list form.
+MAX_TYPES = 100_000
+
+
+def usage_types(df: DataFrame, key: str, type_col: str) -> DataFrame:
+    """One row per key and type with its number of rows: the form without a bound on types."""
+    k, t = F.col(f"`{key}`"), F.col(f"`{type_col}`")
+    return (df.where(k.isNotNull() & t.isNotNull()).groupBy(k.alias("key"), t.alias("type"))
+              .agg(F.count(F.lit(1)).alias("used")))
+
+
 def _first_per_key(pairs: DataFrame, value: str, k: int) -> DataFrame:
     """The ``k`` smallest values per key, cut before the shuffle (partial window limit)."""
     w = Window.partitionBy("key").orderBy(F.col(value).asc())
@@ -37,7 +48,8 @@ def usage_index(df: DataFrame, key: str, type_col: str, owner: str,
     """Per key: ``used`` rows, sorted distinct ``types``, first ``max_examples`` owners.
 
     ``types`` lists every distinct type of the key by default, as the index
-    does. For a type vocabulary without a natural bound, ``max_types`` lists
+    does; more than ``MAX_TYPES`` of one key raise (``usage_types`` has them as
+    rows). For a type vocabulary without a natural bound, ``max_types`` lists
     the first ``max_types`` types (cut like the examples, before the shuffle)
     and adds ``type_count``, the exact number of distinct types.
     """
@@ -46,8 +58,11 @@ def usage_index(df: DataFrame, key: str, type_col: str, owner: str,
 
     pairs_t = (df.where(k.isNotNull() & F.col(f"`{type_col}`").isNotNull())
                  .select(k.alias("key"), F.col(f"`{type_col}`").alias("t")).distinct())
-    listed_t = pairs_t if max_types is None else _first_per_key(pairs_t, "t", max_types)
+    listed_t = _first_per_key(pairs_t, "t", MAX_TYPES + 1 if max_types is None else max_types)
     types = listed_t.groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("types"))
+    if max_types is None:
+        types = types.withColumn("types", F.when(F.size("types") <= MAX_TYPES, F.col("types")).otherwise(
+            F.raise_error(F.lit(f"more than {MAX_TYPES} types of one key: use usage_types"))))
     if max_types is not None:
         counts = pairs_t.groupBy("key").agg(F.count(F.lit(1)).alias("type_count"))
         types = types.join(counts, "key", "right")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tablecare.functions.text import Rule, categorize as categorize_col, short_name as short_name_col
 from tablecare.operators import (duplicates, frames, profile as prof, profile_state, reconcile,
-                                 split as sp, usage, validate)
+                                 rule_table, split as sp, usage, validate)
 from tablecare.plans.fixtures import dirty_orders, read_table
 from tablecare.plans.run import RunLayout, run_table
 from tablecare.plans.spec import ORDERS_SPEC, clean_table, tagged_table
@@ -372,6 +372,29 @@ def q_categorize_parts(spark, d):
                        categorize_col("p_type", PART_RULES, "other").alias("category"))
 
 
+def q_categorize_table(spark, d):
+    """Urls by a rule table as long as the data is: whole urls, starts, ends and parts of some."""
+    pages = read_table(spark, d, "pages")
+    some = lambda n, r: pages.where(F.col("page_id") % n == r)
+    rule = lambda rows, kind, pattern: rows.select(
+        F.col("page_id").alias("number"), F.lit(kind).alias("kind"), pattern.alias("pattern"),
+        F.concat(F.lit(kind[0]), F.col("page_id").cast("string")).alias("label"))
+    url = F.col("url")
+    rules = (rule(some(6, 1), "exact", url).unionByName(rule(some(12, 2), "prefix", F.substring(url, 1, 19)))
+             .unionByName(rule(some(12, 3), "suffix", F.right(url, F.lit(2))))
+             .unionByName(rule(some(12, 4), "contains", F.substring(url, 15, 7)))
+             .unionByName(rule(some(60, 5), "contains", F.right(url, F.lit(2)))))
+    return rule_table.categorize_by_table(pages.select("page_id", "url"), "url", rules, default="plain")
+
+
+def q_named_entries(spark, d):
+    return frames.named_entries(read_table(spark, d, "conversations"), ["conv_id"], "role", "text", "turn")
+
+
+def q_usage_types(spark, d):
+    return usage.usage_types(read_table(spark, d, "events"), "event_type", "props")
+
+
 def q_short_name(spark, d):
     pages = read_table(spark, d, "pages")
     host = F.regexp_extract("url", HOST_PATTERN, 1)
@@ -401,6 +424,9 @@ QUERIES: dict[str, Query] = {
     "latest_survives": q_latest_survives,
     "read_run_manifest": q_read_run_manifest,
     "reconcile_load": q_reconcile_load,
+    "categorize_table": q_categorize_table,
+    "named_entries": q_named_entries,
+    "usage_types": q_usage_types,
     "stream_duplicates": q_stream_duplicates,
     "profile_merged": q_profile_merged,
     "sink_warehouse": q_sink_warehouse,

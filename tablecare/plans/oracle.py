@@ -327,6 +327,22 @@ def build() -> dict[str, str]:
         "arg_max(text, turn) FILTER (WHERE role = 'assistant') AS assistant_text, "
         "arg_max(text, turn) FILTER (WHERE role = 'system') AS system_text "
         "FROM conversations WHERE role IS NOT NULL GROUP BY conv_id")
+    sql["named_entries"] = ("SELECT conv_id, role, arg_max(text, turn) AS text FROM conversations "
+                            "WHERE role IS NOT NULL GROUP BY conv_id, role")
+    sql["usage_types"] = ("SELECT event_type AS key, props AS type, count(*) AS used FROM events "
+                          "WHERE event_type IS NOT NULL AND props IS NOT NULL GROUP BY 1, 2")
+    made = " UNION ALL ".join(
+        f"SELECT page_id AS number, '{kind}' AS kind, {pattern} AS pattern, '{kind[0]}' || page_id AS label "
+        f"FROM pages WHERE page_id % {n} = {r}" for n, r, kind, pattern in (
+            (6, 1, "exact", "url"), (12, 2, "prefix", "substr(url, 1, 19)"), (12, 3, "suffix", "right(url, 2)"),
+            (12, 4, "contains", "substr(url, 15, 7)"), (60, 5, "contains", "right(url, 2)")))
+    sql["categorize_table"] = f"""
+        WITH rules AS ({made}),
+        hit AS (SELECT url, arg_min(label, number) AS label FROM (SELECT DISTINCT url FROM pages), rules
+                WHERE (kind = 'exact' AND url = pattern) OR (kind = 'prefix' AND starts_with(url, pattern))
+                   OR (kind = 'suffix' AND ends_with(url, pattern)) OR (kind = 'contains' AND contains(url, pattern))
+                GROUP BY url)
+        SELECT page_id, url, coalesce(label, 'plain') AS category FROM pages LEFT JOIN hit USING (url)"""
     return sql
 
 
