@@ -164,11 +164,16 @@ IDENTITY = ["__id1", "__id2"]
 SALTS = 16
 
 
-def _flag_staged(df: DataFrame, keys: list[str], flag: str, null_safe: bool) -> DataFrame:
+ROW = "__row"
+
+
+def _flag_staged(df: DataFrame, keys: list[str], flag: str, null_safe: bool,
+                 order: Sequence[str] | None = None) -> DataFrame:
+    numbered = [] if order is None else [F.monotonically_increasing_id().alias(ROW)]
     counted = F.lit(True) if null_safe else all_not_null([f"`{k}`" for k in keys])
     rows = stage_table(df.select(
         *[F.col(f"`{c}`") for c in df.columns], fingerprint(keys).alias(IDENTITY[0]),
-        fingerprint(keys, seed=1).alias(IDENTITY[1]), counted.alias("__counted")), "rows")
+        fingerprint(keys, seed=1).alias(IDENTITY[1]), counted.alias("__counted"), *numbered), "rows")
     repeated = stage_table(
         rows.where("__counted").select(*IDENTITY, F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("__salt"))
         .groupBy(*IDENTITY, "__salt").agg(F.count(F.lit(1)).alias("__n"))
@@ -190,22 +195,41 @@ def _flag_staged(df: DataFrame, keys: list[str], flag: str, null_safe: bool) ->
         out = l.join(r, same, "left").join(
             single.alias("s"), _key_match(keys, True, "l", "s"), "left")
         is_dup = is_dup & F.col("s.__single").isNull()
-    return out.select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag))
+    if order is None:
+        return out.select(*[_ref("l", c) for c in df.columns], is_dup.alias(flag))
+    # the first copy of each group by ``order`` keeps its place; a row number joins it, never a hot key
+    flagged = out.select(*[_ref("l", c) for c in df.columns], _ref("l", ROW), is_dup.alias(flag))
+    place = F.struct(*[F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in order], F.col(ROW))
+    firsts = stage_table(flagged.where(F.col(flag)).groupBy(*keys).agg(F.min_by(ROW, place).alias("__first"))
+                         .select("__first", F.lit(True).alias("__is_first")), "firsts")
+    return (flagged.alias("l").join(firsts.alias("f"), _ref("l", ROW) == F.col("f.__first"), "left")
+            .select(*[_ref("l", c) for c in df.columns],
+                    (_ref("l", flag) & F.col("f.__is_first").isNull()).alias(flag)))
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str] | None = None,
                     flag: str = DEFAULT_FLAG, null_safe: bool = False,
                     method: str = "staged",
-                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int = BROADCAST_ROWS,
+                    keep: str = "none", order: Sequence[str] = ()) -> DataFrame:
     """Every row of ``df`` once, plus a non-NULL boolean ``flag`` column.
 
     ``keys`` defaults to all columns. ``method`` is ``staged`` (rows computed once, into the
     shared folder), ``join`` (lazy, rows computed twice) or ``fingerprint`` (one eager pass, then
     narrow shuffles); all give the same rows. See the module notes.
+
+    ``keep="none"`` flags all copies. ``keep="first"`` leaves the first one by the columns of
+    ``order`` unflagged (NULL last; of rows equal there too, any one); it needs ``staged``.
     """
     keys = _keys(df, keys)
     if flag in df.columns:
         raise ValueError(f"flag column {flag!r} already exists")
+    if keep not in ("none", "first"):
+        raise ValueError(f"unknown keep {keep!r}")
+    if keep == "first":
+        if not order or method != "staged":
+            raise ValueError('keep="first" needs order columns and the staged method')
+        return _flag_staged(df, keys, flag, null_safe, _keys(df, order))
     if method == "staged":
         return _flag_staged(df, keys, flag, null_safe)
     if method == "join":

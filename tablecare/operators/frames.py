@@ -94,11 +94,11 @@ def keyword_search(df: DataFrame, query: str, columns: Sequence[str],
     needle = F.lit(query.lower())
     cond = F.lit(False)
     for c in columns:
-        cond = cond | F.coalesce(F.contains(F.lower(F.col(c).cast("string")), needle), F.lit(False))
+        cond = cond | F.coalesce(F.contains(F.lower(F.col(f"`{c}`").cast("string")), needle), F.lit(False))
     if not include_private:
         if name_column is None:
             raise ValueError("include_private=False needs name_column")
-        cond = cond & ~F.coalesce(F.startswith(F.col(name_column), F.lit("_")), F.lit(False))
+        cond = cond & ~F.coalesce(F.startswith(F.col(f"`{name_column}`"), F.lit("_")), F.lit(False))
     return df.where(cond)
 
 

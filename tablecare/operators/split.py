@@ -24,10 +24,15 @@ def missing_required(required: Sequence[str]) -> Column:
     return any_null([f"`{c}`" for c in required])
 
 
-def quarantine_condition(required: Sequence[str], flag: str | None = "duplicate_row") -> Column:
+def _is_set(name: str) -> Column:
+    return F.coalesce(F.col(f"`{name}`"), F.lit(False))
+
+
+def quarantine_condition(required: Sequence[str], flag: str | None = "duplicate_row",
+                         rejects: Sequence[str] = ()) -> Column:
     cond = missing_required(required)
-    if flag is not None:
-        cond = cond | F.coalesce(F.col(f"`{flag}`"), F.lit(False))
+    for name in [*([] if flag is None else [flag]), *rejects]:
+        cond = cond | _is_set(name)
     return cond
 
 
@@ -39,8 +44,9 @@ def null_check(df: DataFrame, required: Sequence[str], out: str = "missing_requi
     return df.withColumn(out, missing_required(required))
 
 
-def failed_checks(required: Sequence[str], flag: str | None = "duplicate_row") -> Column:
-    """How many checks a row fails (NULL required values, plus the duplicate flag).
+def failed_checks(required: Sequence[str], flag: str | None = "duplicate_row",
+                  rejects: Sequence[str] = ()) -> Column:
+    """How many checks a row fails (NULL required values, duplicate flag, ``rejects``).
 
     The split filters on this count rather than on the boolean condition. As
     a conjunction (``a IS NOT NULL AND b IS NOT NULL AND NOT dup``) Catalyst
@@ -52,38 +58,43 @@ def failed_checks(required: Sequence[str], flag: str | None = "duplicate_row") -
     n = F.lit(0)
     for c in required:
         n = n + F.col(f"`{c}`").isNull().cast("int")
-    if flag is not None:
-        n = n + F.coalesce(F.col(f"`{flag}`"), F.lit(False)).cast("int")
+    for name in [*([] if flag is None else [flag]), *rejects]:
+        n = n + _is_set(name).cast("int")
     return n
 
 
-def quarantine_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row") -> DataFrame:
-    return df.where(failed_checks(required, flag) > F.lit(0))
+def quarantine_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row",
+                    rejects: Sequence[str] = ()) -> DataFrame:
+    return df.where(failed_checks(required, flag, rejects) > F.lit(0))
 
 
-def clean_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row") -> DataFrame:
-    return df.where(failed_checks(required, flag) == F.lit(0))
+def clean_rows(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row",
+               rejects: Sequence[str] = ()) -> DataFrame:
+    return df.where(failed_checks(required, flag, rejects) == F.lit(0))
 
 
-def reasons(required: Sequence[str], flag: str | None = "duplicate_row") -> Column:
-    """Why a row is quarantined: ``missing:<column>`` per NULL required column,
-    and ``duplicate`` when flagged. Empty for clean rows."""
+def reasons(required: Sequence[str], flag: str | None = "duplicate_row",
+            rejects: Sequence[str] = ()) -> Column:
+    """Why a row is quarantined: ``missing:<column>`` per NULL required column, ``duplicate``
+    when flagged and the name of each reject column that is set. Empty for clean rows."""
     parts = [F.when(F.col(f"`{c}`").isNull(), F.lit(f"missing:{c}")) for c in required]
     if flag is not None:
         parts.append(F.when(F.coalesce(F.col(f"`{flag}`"), F.lit(False)), F.lit("duplicate")))
+    parts += [F.when(_is_set(name), F.lit(name)) for name in rejects]
     return F.filter(F.array(*parts), lambda x: x.isNotNull())
 
 
 def with_outcome(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row",
-                 out: str = "outcome") -> DataFrame:
+                 out: str = "outcome", rejects: Sequence[str] = ()) -> DataFrame:
     """Tag each row ``clean`` or ``quarantine`` (for one partitioned write of both)."""
-    return df.withColumn(out, F.when(quarantine_condition(required, flag), F.lit(QUARANTINE))
+    return df.withColumn(out, F.when(quarantine_condition(required, flag, rejects), F.lit(QUARANTINE))
                                 .otherwise(F.lit(CLEAN)))
 
 
-def split_summary(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row") -> DataFrame:
+def split_summary(df: DataFrame, required: Sequence[str], flag: str | None = "duplicate_row",
+                  rejects: Sequence[str] = ()) -> DataFrame:
     """One row: total, clean and quarantine row counts, in a single aggregate."""
-    q = quarantine_condition(required, flag)
+    q = quarantine_condition(required, flag, rejects)
     return df.agg(F.count(F.lit(1)).alias("total_rows"),
                   F.count_if(~q).alias("clean_rows"),
                   F.count_if(q).alias("quarantine_rows"))

@@ -10,6 +10,7 @@ and return what was written, read back.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from tablecare.functions.text import Rule, categorize as categorize_col, short_name as short_name_col
 from tablecare.operators import (duplicates, frames, profile as prof, profile_state, reconcile,
-                                 rule_table, split as sp, usage, validate)
+                                 rule_table, search_index, split as sp, usage, validate)
 from tablecare.plans.fixtures import dirty_orders, read_table
 from tablecare.plans.run import RunLayout, run_table
-from tablecare.plans.spec import ORDERS_SPEC, clean_table, tagged_table
+from tablecare.plans.spec import ORDERS_SPEC, Spec, Step, clean_table, tagged_table
 from tablecare.session import fresh_dir
-from tablecare.sources import files, manifest, sinks, versions
+from tablecare.sources import files, headers, manifest, sinks, versions
 from tablecare.streaming import ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,7 @@ PART_RULES = (
     Rule("contains", "OMO", "promo"),
     Rule("prefix", "STAND", "standard"),
 )
+INDEX_NEEDLES = ("Licen", "SECRET", "no such passage", "q.")
 HOST_PATTERN = r"^[a-z]+://([^/?#]+)"
 
 
@@ -137,6 +139,30 @@ def q_scan_csv_ragged(spark, d):
                           corrupt_column="_corrupt_record", header="false")
 
 
+def q_scan_csv_headers(spark, d):
+    """Files with three header orders, one without a column, one of them with ragged lines."""
+    root = fresh_dir(spark, "scan_csv_headers")
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    part = lambda n: rows.where(F.col("o_orderkey") % 4 == n)
+    whole = lambda df, names: df.toDF(*names).write.mode("append").options(
+        **sinks.CSV_WRITE_OPTIONS).csv(root)
+    whole(part(0), ["Order Key", "Cust Key", "Status"])
+    whole(part(1).select("o_orderstatus", "o_orderkey", "o_custkey"), ["status", "order_key", "cust_key"])
+    whole(part(2).select("o_custkey", "o_orderkey"), ["Cust Key", "Order Key"])
+    key = F.col("o_orderkey")
+    line = F.when(key % 7 == 0, F.concat_ws(",", "o_custkey", "o_orderstatus", key)).otherwise(
+        F.concat_ws(",", "o_custkey", "o_orderstatus", key, F.lit("more")))
+    lines = part(3).select(F.expr("o_orderkey div 4 % 8").alias("file"), key, line.alias("value"))
+    heads = spark.range(8).select(F.col("id").alias("file"), F.lit(None).cast("long").alias("o_orderkey"),
+                                  F.lit("CUST KEY,STATUS,ORDER KEY").alias("value"))
+    (lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "o_orderkey")   # NULLs first
+     .select("file", "value").write.partitionBy("file").text(f"{root}/ragged"))
+    found = headers.read_csv_by_header(spark, root)
+    ragged = F.col("_corrupt_record")
+    return found.select("order_key", "cust_key", "status", ragged.isNotNull().alias("ragged"),
+                        F.when(ragged.isNotNull(), F.col("source_line")).alias("line"))
+
+
 def q_sink_csv_texts(spark, d):
     """Texts with line breaks, quotes, commas and backslashes, published and read back."""
     root = fresh_dir(spark, "publish_texts")
@@ -300,6 +326,22 @@ def q_quarantine_table(spark, d):
     return q.withColumn("reasons", F.array_join("reasons", ","))
 
 
+def q_quarantine_unparsable(spark, d):
+    """Prices with a currency sign, which no step takes off here, go to quarantine."""
+    steps = [s for s in SPEC.steps if s.name != "clean_currency"]
+    at = [s.name for s in steps].index("try_cast_double") + 1
+    steps.insert(at, Step("flag_unparsable", ("base_price",), {"original": "preserve_price"}))
+    q = clean_table(dirty_orders(spark, d), Spec(tuple(steps)), with_reasons=True).quarantine
+    return q.withColumn("reasons", F.array_join("reasons", ","))
+
+
+def q_flag_duplicates_first(spark, d):
+    """All but the first order of a customer, status and price are flagged."""
+    return duplicates.flag_duplicates(
+        _cleaned(spark, d), ["customer_name", "status", "risk_level"], FLAG, keep="first",
+        order=["created_date", "order_id"])
+
+
 def q_split_summary(spark, d):
     return sp.split_summary(_flagged(spark, d), REQUIRED, FLAG)
 
@@ -354,6 +396,16 @@ def q_keyword_search_pages(spark, d):
     return frames.keyword_search(pages, "Example.ORG", ["url", "html"]).select("page_id", "url")
 
 
+def q_keyword_search_index(spark, d):
+    """Needles looked up in the trigram index: in many texts, in few, in none, and too short for it."""
+    root = fresh_dir(spark, "search_index")
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "source")
+    search_index.build_index(docs, root, ["text", "source"])
+    found = [search_index.search_index(spark, root, needle, ["text", "source"])
+             .select(F.lit(needle).alias("needle"), "doc_id") for needle in INDEX_NEEDLES]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def q_usage_index(spark, d):
     idx = usage.usage_index(read_table(spark, d, "events"), "event_type", "props", "user_id")
     return idx.select("key", "used", F.array_join("types", "|").alias("types"),
@@ -416,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "scan_csv_infer": q_scan_csv_infer,
     "scan_csv_permissive": q_scan_csv_permissive,
     "scan_csv_ragged": q_scan_csv_ragged,
+    "scan_csv_headers": q_scan_csv_headers,
     "sink_csv_texts": q_sink_csv_texts,
     "rerun_replaces_run": q_rerun_replaces_run,
     "read_run": q_read_run,
@@ -461,6 +514,8 @@ QUERIES: dict[str, Query] = {
     "clean_rows": q_clean_rows,
     "clean_table": q_clean_table,
     "quarantine_table": q_quarantine_table,
+    "quarantine_unparsable": q_quarantine_unparsable,
+    "flag_duplicates_first": q_flag_duplicates_first,
     "split_summary": q_split_summary,
     "plan_steps": q_plan_steps,
     # aggregates and reports
@@ -479,6 +534,7 @@ QUERIES: dict[str, Query] = {
     # re-aimed operators
     "keyword_search": q_keyword_search,
     "keyword_search_pages": q_keyword_search_pages,
+    "keyword_search_index": q_keyword_search_index,
     "usage_index": q_usage_index,
     "categorize": q_categorize,
     "categorize_parts": q_categorize_parts,

@@ -10,7 +10,7 @@ digits pattern; DuckDB has no ``initcap``.
 
 from __future__ import annotations
 
-from tablecare.plans.catalog import HOST_PATTERN, PART_RULES, RUN_A, RUN_B, URL_RULES
+from tablecare.plans.catalog import HOST_PATTERN, INDEX_NEEDLES, PART_RULES, RUN_A, RUN_B, URL_RULES
 
 DIRTY = r"""
 SELECT
@@ -178,6 +178,15 @@ def build() -> dict[str, str]:
                     WHEN o_orderkey % 11 = 0 THEN o_orderkey::VARCHAR || ',' || o_orderstatus || ',more'
                END AS _corrupt_record
         FROM orders"""
+    # lines with four cells are ragged in place; those cut to three are whole
+    sql["scan_csv_headers"] = """
+        WITH r AS (SELECT *, o_orderkey % 4 = 3 AND o_orderkey % 7 <> 0 AS ragged,
+                          1 + row_number() OVER (PARTITION BY o_orderkey % 4, o_orderkey // 4 % 8
+                                                 ORDER BY o_orderkey) AS line FROM orders)
+        SELECT o_orderkey::VARCHAR AS order_key, o_custkey::VARCHAR AS cust_key,
+               CASE WHEN o_orderkey % 4 <> 2 THEN o_orderstatus END AS status,
+               ragged, CASE WHEN ragged THEN line END AS line
+        FROM r"""
     sql["sink_csv_texts"] = f"""
         SELECT doc_id, text || chr(10) || '"' || source || '", end\\' AS text,
                CASE WHEN doc_id % 3 = 0 THEN 'quarantine' ELSE 'clean' END AS outcome, '{RUN_A}' AS run_id
@@ -240,6 +249,25 @@ def build() -> dict[str, str]:
     sql["clean_rows"] = flagged + f"SELECT * FROM s_flag WHERE NOT {QCOND}"
     sql["clean_table"] = sql["clean_rows"]
     sql["quarantine_table"] = flagged + f"SELECT *, {REASONS} AS reasons FROM s_flag WHERE {QCOND}"
+    by_name, unpriced, last = dict(STAGES), [], "u_bad"
+    for stage in ("s_flagneg", "s_fixneg", "s_dates", "s_int", "s_range", "s_flag"):
+        sel = by_name[stage]
+        if stage == "s_flag":       # the new column is a key as well
+            sel = sel.replace("base_price, status", "base_price, unparsable_base_price, status", 1)
+        unpriced.append((f"u_{stage[2:]}", sel, last))
+        last = f"u_{stage[2:]}"
+    dear = "(preserve_price IS NOT NULL AND base_price IS NULL)"
+    sql["quarantine_unparsable"] = (
+        chain("s_preserve", "u_cast AS (SELECT * REPLACE (try_cast(base_price AS DOUBLE) AS base_price) "
+              f"FROM s_preserve),\nu_bad AS (SELECT *, {dear} AS unparsable_base_price FROM u_cast),\n"
+              + ",\n".join(f"{name} AS (SELECT {sel} FROM {prev})" for name, sel, prev in unpriced)
+              ) + f"SELECT *, concat_ws(',', nullif({REASONS}, ''), CASE WHEN unparsable_base_price "
+                  f"THEN 'unparsable_base_price' END) AS reasons FROM u_flag WHERE {QCOND} OR unparsable_base_price")
+    three = "customer_name, status, risk_level"
+    sql["flag_duplicates_first"] = chain("s_range") + (
+        "SELECT *, customer_name IS NOT NULL AND status IS NOT NULL AND risk_level IS NOT NULL AND "
+        f"row_number() OVER (PARTITION BY {three} ORDER BY created_date NULLS LAST, order_id NULLS LAST) > 1 "
+        "AS duplicate_row FROM s_range")
     sql["split_summary"] = (flagged + "SELECT count(*) AS total_rows, "
                             f"count(*) FILTER (WHERE NOT {QCOND}) AS clean_rows, "
                             f"count(*) FILTER (WHERE {QCOND}) AS quarantine_rows FROM s_flag")
@@ -298,6 +326,9 @@ def build() -> dict[str, str]:
                              "OR contains(lower(lang), 'licen') OR contains(lower(source), 'licen')")
     sql["keyword_search_pages"] = ("SELECT page_id, url FROM pages WHERE contains(lower(url), 'example.org') "
                                    "OR contains(lower(html), 'example.org')")
+    sql["keyword_search_index"] = "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS needle, doc_id FROM documents WHERE contains(lower(text), lower('{n}')) "
+        f"OR contains(lower(source), lower('{n}'))" for n in INDEX_NEEDLES)
     sql["usage_index"] = (
         "WITH u AS (SELECT event_type AS key, count(*) AS used FROM events "
         "WHERE event_type IS NOT NULL GROUP BY 1),\n"

@@ -59,7 +59,7 @@ def run_table(raw: DataFrame, spec: Spec, layout: RunLayout, run_id: str,
     """
     required, flag = spec.required(), spec.flag()
     spark = raw.sparkSession
-    tagged = with_outcome(spec.apply(raw), required, flag)
+    tagged = with_outcome(spec.apply(raw), required, flag, rejects=spec.rejects())
     obs = Observation()
     observed = tagged.observe(obs, F.count(F.lit(1)).alias("total_rows"),
                               F.count_if(F.col("outcome") == F.lit(CLEAN)).alias("clean_rows"),

@@ -54,6 +54,12 @@ def _flag_negative(df: DataFrame, step: Step) -> DataFrame:
     return df.withColumn(out, C.is_negative(F.col(f"`{src}`")))
 
 
+def _flag_unparsable(df: DataFrame, step: Step) -> DataFrame:
+    (src,) = step.columns
+    out = step.options.get("out", f"unparsable_{src}")
+    return df.withColumn(out, F.col(f"`{step.options['original']}`").isNotNull() & F.col(f"`{src}`").isNull())
+
+
 def _dates(df: DataFrame, step: Step) -> DataFrame:
     formats = tuple(step.options.get("formats", C.DATE_FORMATS))
     return frames.map_columns(df, step.columns, lambda c: C.parse_date(c, formats))
@@ -70,6 +76,7 @@ def _duplicates(df: DataFrame, step: Step) -> DataFrame:
     return flag_duplicates(df, keys=list(step.columns) or None,
                            flag=opts.get("flag", "duplicate_row"),
                            null_safe=opts.get("null_safe", False),
+                           keep=opts.get("keep", "none"), order=opts.get("order", ()),
                            method=opts.get("method", "staged"))
 
 
@@ -91,6 +98,7 @@ STEPS: dict[str, StepFn] = {
     "clean_currency": _per_column(C.clean_currency),
     "try_cast_double": _per_column(C.try_double),
     "flag_negative": _flag_negative,
+    "flag_unparsable": _flag_unparsable,
     "fix_negative": _per_column(C.fix_negative),
     "try_parse_date": _dates,
     "try_cast_int": _per_column(C.try_int),
@@ -115,6 +123,11 @@ class Spec:
     def required(self) -> list[str]:
         return [c for s in self.steps if s.name == "null_check" for c in s.columns]
 
+    def rejects(self) -> list[str]:
+        """Columns of ``flag_unparsable`` steps: their rows go to quarantine."""
+        return [s.options.get("out", f"unparsable_{s.columns[0]}") for s in self.steps
+                if s.name == "flag_unparsable"]
+
     def flag(self) -> str | None:
         for s in self.steps:
             if s.name == "flag_duplicates":
@@ -142,11 +155,11 @@ class Split(NamedTuple):
 
 
 def split(flagged: DataFrame, spec: Spec, with_reasons: bool = False) -> Split:
-    required, flag = spec.required(), spec.flag()
-    q = quarantine_rows(flagged, required, flag)
+    checks = spec.required(), spec.flag(), spec.rejects()
+    q = quarantine_rows(flagged, *checks)
     if with_reasons:
-        q = q.withColumn("reasons", reasons(required, flag))
-    return Split(clean_rows(flagged, required, flag), q)
+        q = q.withColumn("reasons", reasons(*checks))
+    return Split(clean_rows(flagged, *checks), q)
 
 
 def clean_table(df: DataFrame, spec: Spec, with_reasons: bool = False) -> Split:
@@ -156,7 +169,7 @@ def clean_table(df: DataFrame, spec: Spec, with_reasons: bool = False) -> Split:
 
 def tagged_table(df: DataFrame, spec: Spec, out: str = "outcome") -> DataFrame:
     """Steps applied and each row tagged ``clean``/``quarantine`` (one table, one pass)."""
-    return with_outcome(spec.apply(df), spec.required(), spec.flag(), out)
+    return with_outcome(spec.apply(df), spec.required(), spec.flag(), out, spec.rejects())
 
 
 def steps_table(spark, spec: Spec) -> DataFrame:

@@ -65,7 +65,7 @@ def _write(rows: DataFrame, spec: Spec, layout: RunLayout, run_id: str) -> None:
     spark, root = rows.sparkSession, _rows_root(layout, run_id)
     versions.commit_version(spark, root, versions.write_version(rows, root))
     kept = spark.read.schema(rows.schema).parquet(versions.current_path(spark, root))
-    tagged = with_outcome(kept, spec.required(), spec.flag())
+    tagged = with_outcome(kept, spec.required(), spec.flag(), rejects=spec.rejects())
     sinks.write_run(tagged, layout.runs, run_id, layout.fmt)
     sinks.load_warehouse(tagged.where(F.col("outcome") == F.lit(CLEAN)).drop("outcome"),
                          layout.warehouse, run_id)
@@ -119,6 +119,8 @@ def start_ledger_stream(spark: SparkSession, source_dir: str, schema: StructType
     """A file stream whose micro-batches are runs judged against all runs before them."""
     if spec.flag() is None:
         raise ValueError("the spec has no flag_duplicates step")
+    if _flag_step(spec).options.get("keep", "none") != "none":
+        raise ValueError("a ledger flags all copies of all runs; keep is for one table")
     source = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
               .option("maxFilesPerTrigger", files_per_run).csv(source_dir))
     writer = (source.writeStream.option("checkpointLocation", checkpoint_location)
