@@ -25,8 +25,8 @@
 Each row also holds its message as a chat segment; segments joined in order of
 ``position`` are the conversation without quotes.
 
-Defined cases: rows with NULL conv_id form one conversation; a NULL turn counts
-as -1 (and comes first); NULL text counts as '' and NULL role as ''; rows with
+Defined cases: rows with NULL conv_id form one conversation, apart from that of an
+empty conv_id; a NULL turn counts as -1 (and shares a place with a turn of -1); NULL text counts as '' and NULL role as ''; rows with
 equal conv_id and turn are one place in the order: their passages are pooled,
 and each row is returned with the same links and position; an empty table gives
 no rows; other columns are not read.
@@ -58,7 +58,8 @@ def parsed(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         F.length(F.regexp_replace(F.regexp_extract(line, QUOTE_MARKS, 1), r"[^>]", "")).alias("level"),
         F.regexp_replace(line, QUOTE_MARKS, "").alias("body")))
     rows = messages.select(
-        F.coalesce(quoted(conv_col).cast("string"), F.lit("")).alias("conv"),
+        # '' stands for NULL alone: every other key begins with a sign
+        F.coalesce(F.concat(F.lit("="), quoted(conv_col).cast("string")), F.lit("")).alias("conv"),
         F.coalesce(quoted(turn_col).cast("long"), F.lit(-1)).alias("at"),
         quoted(conv_col).alias("conv_id"), quoted(turn_col).alias("turn"),
         F.coalesce(quoted(role_col), F.lit("")).alias("role"), lines.alias("lines"))

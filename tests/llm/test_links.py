@@ -275,3 +275,12 @@ def test_pipeline_by_brute_force(spark):
     assert got == want
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+
+
+def test_null_and_empty_conversations_are_apart(spark):
+    rows = [(None, 0, "user", "the first thing that was said"), (None, 1, "user", "> the first thing that was said"),
+            ("", 1, "user", "> the first thing that was said"), ("=", 0, "user", "the first thing that was said"),
+            ("", 0, "user", "something else")]
+    data = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["reply_to"], r["position"]) for r in quotes.link_quotes(data).collect()}
+    assert got == {(None, 0): (None, 0), (None, 1): (0, 1), ("", 0): (None, 0), ("", 1): (None, 1), ("=", 0): (None, 0)}
