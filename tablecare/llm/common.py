@@ -34,6 +34,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+HOT = 1000     # a key is hot when it holds more than one in HOT of the rows: at most HOT keys
+
+
+def hot_size(rows: int | None) -> int:
+    """Keys with more rows than this are hot; ``rows`` is the number of all rows."""
+    return max(1, -(-(rows or 0) // HOT))
+
+
+def join_hot_apart(rows: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows with one row per key, both with a flag ``hot`` that hangs on the key alone.
+
+    The rows of hot keys stay where they are: fewer than ``HOT`` keys can be hot (see ``hot_size``),
+    so their side is broadcast. All others meet by a shuffle, in which no key is large.
+    """
+    cold = rows.filter("NOT hot").join(keyed.filter("NOT hot").drop("hot"), keys)
+    few = F.broadcast(keyed.filter("hot").drop("hot"))
+    return cold.unionByName(rows.filter("hot").join(few, keys))
+
+
+def flag_hot(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the flag ``hot``: whether their keys are among ``hot``, fewer than ``HOT`` rows."""
+    few = F.broadcast(hot.select(*keys, F.lit(True).alias("hot")))
+    return rows.join(few, keys, "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+
+
 def min_partitions(df: DataFrame) -> int:
     """At least two tasks per core and the session's shuffle partitions."""
     spark = df.sparkSession

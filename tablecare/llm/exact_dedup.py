@@ -10,9 +10,10 @@ two texts that merely share a digest never merge:
 3. global: the few salt winners of a text become one row.
 
 A document finds its group again by a narrow equi-join on (SHA-256, 64-bit
-hash, length); rows of a hot group are on the side that adaptive execution can
-split. Should two different texts ever agree on all three, the query fails
-instead of merging them.
+hash, length). Groups are staged first; rows of hot groups (more than one in
+1,000 of all rows, so fewer than 1,000 groups) are not shuffled for it, their
+groups are broadcast. Should two different texts ever agree on all three, the
+query fails instead of merging them.
 
 Defined cases: NULL text counts as ''; NULL doc_id is smaller than any id (a
 group of NULL ids keeps NULL); rows equal in id and text are one decision (each
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecare.llm.common import id_text, quoted
+from tablecare.llm.common import flag_hot, hot_size, id_text, join_hot_apart, quoted, stage
 
 IDENTITY = ["digest", "hash64", "length"]
 
@@ -60,8 +61,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             salts: int = 16) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = _identified(docs, id_col, text_col).select("doc_id", *IDENTITY)
-    return (rows.join(groups(docs, id_col, text_col, salts), IDENTITY)
+    found = stage(groups(docs, id_col, text_col, salts), "groups")
+    total = found.agg(F.sum("group_size")).first()[0]
+    found = found.withColumn("hot", F.col("group_size") > hot_size(total))
+    rows = flag_hot(_identified(docs, id_col, text_col).select("doc_id", *IDENTITY),
+                    found.filter("hot"), IDENTITY)
+    return (join_hot_apart(rows, found, IDENTITY)
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))

@@ -1,5 +1,6 @@
 import hashlib
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -30,6 +31,20 @@ def test_deduplicate_keeps_one_row_per_text(awkward):
     assert {r["doc_id"] for r in got.filter("text = 'a b c d e f'").collect()} == {2}
 
 
+def test_hot_groups_are_joined_apart(spark):
+    """A third of all rows in one group, others of one to six rows; hot and cold rows both come back."""
+    texts = ["hot"] * 1500 + [f"text {i % 997}" for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = exact_dedup.members(docs)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    last, size = {}, Counter(texts)
+    for i, t in enumerate(texts):
+        last[t] = i
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in rows.collect()}
+    assert got == {i: (last[t], size[t], last[t] == i) for i, t in enumerate(texts)}
+
+
 def test_only_null_ids(spark):
     rows = spark.createDataFrame([(None, "x"), (None, "x")], "doc_id long, text string")
     assert exact_dedup.deduplicate(rows).count() == 1
