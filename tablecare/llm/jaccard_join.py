@@ -28,8 +28,8 @@ o(n) = ceil(threshold * n / 100), a linked pair shares at least o(n) tokens.
    only members of different components are compared again. Whatever signature
    still holds several components after that has all its remaining pairs of
    different components compared, so no link between components is lost: short
-   lists by a join, long overlapping ones as one block of nodes, whose tiles are
-   compared with each other (a pair then is looked at once, not once per list).
+   lists by a join, long ones as blocks of nodes whose tiles are compared with each
+   other, overlapping ones as one block where that is less work.
 6. Every candidate is verified by its true intersection.
 
 Hashes have 64 bits; two different shingles of one pair agree with a chance of
@@ -51,7 +51,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecare.llm.common import id_text, min_partitions, quoted, stage, worker_cache
+from tablecare.llm.common import (flag_hot, hot_size, id_text, join_hot_apart, min_partitions,
+                                  quoted, stage, worker_cache)
 from tablecare.llm.components import components
 
 SMALLEST = -(1 << 63)                 # stands for a NULL id
@@ -336,27 +337,31 @@ def _distinct_lists(signatures: DataFrame) -> DataFrame:
     """Of signatures with the same members one stays; those with one member go.
 
     Shingles of one shared passage have the same members. Members are compared
-    by their number and two 64-bit sums of hashes, without collecting them.
+    by their number and two 64-bit sums of hashes, without collecting them. The result has
+    a flag ``hot``: whether the signature is so frequent that its rows should not meet in one task.
     """
-    lists = signatures.groupBy("sig").agg(
+    lists = stage(signatures.groupBy("sig").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    chosen = lists.filter("size > 1").groupBy("size", "x", "y").agg(F.min("sig").alias("sig"))
-    return stage(signatures.join(chosen.select("sig"), "sig", "left_semi"), "lists")
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).filter("size > 1"), "list-sizes")
+    total = lists.agg(F.sum("size")).first()[0]
+    lists = lists.withColumn("hot", F.col("size") > hot_size(total))
+    chosen = lists.groupBy("size", "x", "y", "hot").agg(F.min("sig").alias("sig"))
+    rows = flag_hot(signatures, lists.filter("hot"), ["sig"])
+    return stage(join_hot_apart(rows, chosen.select("sig", "hot"), ["sig"]), "lists")
 
 
 def _blocks(left: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split the open signatures: (block, node, comp) for tiles, and the lists to join one by one.
+    """Split the open signatures: (block, node, comp) for tiles, and the short lists to join.
 
-    Large lists that overlap form a block of their nodes. Comparing a block's nodes
-    with each other costs its size squared, joining its lists one by one the sum of
-    their sizes squared; the cheaper way is taken, both compare the same pairs.
+    A long list is a block of its nodes. Long lists that overlap can form one block instead:
+    comparing its nodes with each other costs its size squared, list by list the sum of their
+    sizes squared. The cheaper way is taken, both compare the same pairs.
     """
-    sized = stage(left.join(left.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("size"), F.min("node").alias("first")), "sig"), "open")
-    large = sized.filter(F.col("size") > LARGE_LIST)
+    sized = stage(join_hot_apart(left, left.groupBy("sig", "hot").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("first")), ["sig"]), "open")
+    large, short = sized.filter(F.col("size") > LARGE_LIST), sized.filter(F.col("size") <= LARGE_LIST)
     if not large.limit(1).count():
-        return large.select(F.col("node").alias("block"), "node", "comp"), sized
+        return large.select(F.col("node").alias("block"), "node", "comp"), short
     edges = large.filter("node <> first").select(
         F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     of = components(edges).withColumnRenamed("comp", "block")
@@ -366,9 +371,10 @@ def _blocks(left: DataFrame) -> tuple[DataFrame, DataFrame]:
             .join(nodes.groupBy("block").agg(F.count(F.lit(1)).alias("k")), "block")
             .filter("double(k) * k <= by_list"))
     dense = stage(cost.select("block"), "blocks")
-    lists = placed.join(dense, "block", "left_anti").select(*sized.columns)
-    return (stage(nodes.join(dense, "block", "left_semi"), "block-nodes"),
-            sized.filter(F.col("size") <= LARGE_LIST).unionByName(lists))
+    # should a signature's hash name two blocks, they are compared as one
+    lists = placed.join(dense, "block", "left_anti").select(
+        F.xxhash64("sig").alias("block"), "node", "comp")
+    return stage(nodes.join(dense, "block", "left_semi").unionByName(lists), "block-nodes"), short
 
 
 def _block_links(blocks: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -377,8 +383,10 @@ def _block_links(blocks: DataFrame, sets: DataFrame, threshold: int) -> DataFram
     A block's nodes are dealt into tiles of about ``TILE`` nodes; every pair of tiles
     is one group of at most two tiles, compared by counting shared tokens.
     """
-    counts = blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
-    dealt = (blocks.join(counts, "block")
+    counts = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("k")).select(
+        "block", F.ceil(F.col("k") / TILE).alias("tiles"),
+        (F.col("k") > hot_size(blocks.count())).alias("hot"))
+    dealt = (join_hot_apart(flag_hot(blocks, counts.filter("hot"), ["block"]), counts, ["block"])
              .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
              .select("block", F.least("tile", "other").alias("low"),
@@ -416,18 +424,18 @@ def _link(signatures: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     tried = None
     for turn in range(STAR_ROUNDS + 1):
         now = signatures.join(labels, "node")
-        spans = (now.groupBy("sig").agg(
+        spans = (now.groupBy("sig", "hot").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"),
             F.min_by(F.struct("node", "n", "comp"),
                      F.struct(F.xxhash64(F.col("node"), F.lit(turn)), "node")).alias("lead"))
             .filter("low <> high"))
         if turn < STAR_ROUNDS:
-            found = now.join(spans, "sig").select(
+            found = join_hot_apart(now, spans, ["sig"]).select(
                 F.col("lead.node").alias("x"), F.col("lead.n").alias("x_n"),
                 F.col("lead.comp").alias("x_comp"), F.col("node").alias("y"),
                 F.col("n").alias("y_n"), F.col("comp").alias("y_comp"))
         else:                                        # all that is left
-            left = now.join(spans.select("sig"), "sig")
+            left = join_hot_apart(now, spans.select("sig", "hot"), ["sig"])
             blocks, left = _blocks(left)
             found = (left.select("sig", *[F.col(c).alias(f"x{s}") for c, s in
                                           (("node", ""), ("n", "_n"), ("comp", "_comp"))])
@@ -496,13 +504,16 @@ def link_components(docs: DataFrame, threshold: int = 80, rare: int = 32, id_col
         _combinations(again, bounds)).distinct(), "signatures")
     labels = _link(_distinct_lists(signatures), sets, bounds)
 
-    classes = members.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    classes = stage(members.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "digests")
+    most = hot_size(classes.agg(F.sum("copies")).first()[0])
+    classes = (classes.withColumn("hot", F.col("copies") > most).join(labels, "node", "left")
+               .select("digest", "hot", F.coalesce("comp", "node").alias("comp")))
+    copies = flag_hot(members, classes.filter("hot"), ["digest"])
     real = lambda c: F.when(F.col(c) != SMALLEST, F.col(c))
-    empty = F.col("n") == 0
-    joined = (members.join(classes, "digest").join(labels, "node", "left")
-              .select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(empty, F.col("doc_id")).otherwise(F.coalesce("comp", "node"))
-                      .alias("component_id")))
+    joined = join_hot_apart(copies, classes, ["digest"]).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("comp")).alias("component_id"))
     return joined.select(real("doc_id").alias("doc_id"), "n_shingles",
                          real("component_id").alias("component_id"))
 
