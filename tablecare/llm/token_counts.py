@@ -59,33 +59,39 @@ class Counter(dict):
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max(len(p) for p, _ in pieces)
         self.unknown = min(s for _, s in pieces) - UNKNOWN_PENALTY
         self.bytes = any(p == "<0x00>" for p, _ in pieces)
 
     def viterbi(self, unit: str) -> int:
-        n = len(unit)
-        score, count = [0.0] + [None] * n, [0] * (n + 1)
-        unknown_run = [False] * (n + 1)    # the best path ends in an unknown character
-        ends: dict[int, list] = {}
-        for end, found in self.automaton.iter(unit):
-            ends.setdefault(end + 1, []).append(found)
-        for end in range(1, n + 1):
+        # only the positions that the longest piece can reach back to are kept, in a ring
+        ring = min(self.longest, len(unit)) + 1
+        score, count = [0.0] * ring, [0] * ring
+        unknown_run = [False] * ring       # the best path ends in an unknown character
+        matches = self.automaton.iter(unit)
+        match = next(matches, None)
+        for end in range(1, len(unit) + 1):
+            found = []
+            while match is not None and match[0] == end - 1:
+                found.append(match[1])
+                match = next(matches, None)
             best, k, unk, single = None, 0, False, False
-            for length, s in sorted(ends.get(end, ()), reverse=True):
+            for length, s in sorted(found, reverse=True):
                 single |= length == 1
-                c = score[end - length] + s
+                c = score[(end - length) % ring] + s
                 if best is None or c > best:
-                    best, k, unk = c, count[end - length] + 1, False
+                    best, k, unk = c, count[(end - length) % ring] + 1, False
             if not single:
-                c = score[end - 1] + self.unknown
+                last = (end - 1) % ring
+                c = score[last] + self.unknown
                 if best is None or c > best:
                     best, unk = c, True
                     if self.bytes:
-                        k = count[end - 1] + len(unit[end - 1].encode("utf-8", "surrogatepass"))
+                        k = count[last] + len(unit[end - 1].encode("utf-8", "surrogatepass"))
                     else:
-                        k = count[end - 1] + (not unknown_run[end - 1])
-            score[end], count[end], unknown_run[end] = best, k, unk
-        return count[n]
+                        k = count[last] + (not unknown_run[last])
+            score[end % ring], count[end % ring], unknown_run[end % ring] = best, k, unk
+        return count[len(unit) % ring]
 
     def __missing__(self, unit: str) -> int:
         k = self.viterbi(unit)

@@ -85,6 +85,32 @@ def test_viterbi_ties(seed):
         assert counter.of(t) == len(exact.encode("▁" + t.replace(" ", "▁")).ids), t
 
 
+def test_counts_of_awkward_rows(awkward):
+    """NULL ids and texts, repeated rows and columns named like results: each row has its count."""
+    path = tokenizer("piece_bpe_32k.model")
+    counter = token_counts.Counter(token_counts.vocabulary(path))
+    want = sorted(((r["doc_id"], counter.of(r["text"] or "")) for r in awkward.collect()), key=repr)
+    out = token_counts.count_tokens(awkward, path)
+    assert out.columns == ["doc_id", "n_tokens"]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want
+
+
+def test_a_long_unit_in_little_memory():
+    """A text without spaces keeps a ring of positions, not its matches."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer, models
+
+    pieces = token_counts.vocabulary(tokenizer("piece_bpe_32k.model"))
+    counter, text = token_counts.Counter(pieces), "abcdefghi123xyzé" * 5_000
+    tracemalloc.start()
+    got = counter.of(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000_000
+    assert got == len(Tokenizer(models.Unigram(pieces, 0, True)).encode("▁" + text).ids)
+
+
 def test_counts_of_nothing(empty):
     assert token_counts.count_tokens(empty, tokenizer("piece_bpe_32k.model")).count() == 0
 
