@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecare.functions.text import Rule, categorize
-from tablecare.operators import frames, usage
+from tablecare.operators import frames, rule_table, usage
 from tablecare.operators.rule_table import categorize_by_table
 
 
@@ -28,6 +28,36 @@ def test_same_as_the_expression(spark):
         categorize_by_table(df, "v.x", table.withColumn("kind", F.lit("like"))).collect()
 
 
+@pytest.mark.parametrize("broadcast_bytes", [rule_table.BROADCAST_BYTES, 0])
+def test_look_ups_are_not_broadcast_and_repeated_patterns_match_once(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(rule_table, "BROADCAST_BYTES", broadcast_bytes)
+    df = spark.range(600).select("id", F.concat(F.lit("https://host/x"), F.col("id").cast("string")).alias("u"))
+    rules = [(n, kind, pattern, f"L{n}") for n, (kind, pattern) in enumerate(
+        [("contains", "st/x7"), ("contains", "x7"), ("suffix", "9"), ("prefix", "https://host/x5"),
+         ("exact", "https://host/x12")] * 40)]
+    table = spark.createDataFrame(rules[::-1], "number long, kind string, pattern string, label string")
+    got = categorize_by_table(df, "u", table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join [" in x and "piece#" in x]
+    assert joins and all(("BroadcastHashJoin" in x and "BuildRight" in x) == (broadcast_bytes > 0) for x in joins)
+    label = lambda i: ("L0" if i.startswith("7") else "L2" if i.endswith("9")
+                       else "L3" if i.startswith("5") else "L4" if i == "12" else "other")
+    assert {r.id: r.category for r in got.collect()} == {i: label(str(i)) for i in range(600)}
+    met = rule_table._beside(rule_table._filed(*_staged_rules(df, table)))
+    assert met.count() == 5     # 200 rules, five patterns
+
+
+def _staged_rules(df, table):
+    """What ``categorize_by_table`` files: its rules, and the values."""
+    kept = []
+    filed, rule_table._filed = rule_table._filed, lambda r, v: kept.extend((r, v)) or filed(r, v)
+    try:
+        categorize_by_table(df, "u", table)
+    finally:
+        rule_table._filed = filed
+    return kept
+
+
 def test_lists_beyond_their_bound_raise(spark, monkeypatch):
     df = spark.range(50).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("name"),
                                 F.col("id").alias("v"))
