@@ -48,6 +48,7 @@ PART_RULES = (
     Rule("contains", "OMO", "promo"),
     Rule("prefix", "STAND", "standard"),
 )
+ARRIVAL_ROWS = 500_000      # of one file of a stream
 INDEX_NEEDLES = ("Licen", "SECRET", "no such passage", "q.")
 HOST_PATTERN = r"^[a-z]+://([^/?#]+)"
 
@@ -229,18 +230,19 @@ def q_read_run_manifest(spark, d):
 
 
 def q_stream_duplicates(spark, d):
-    """Copies that come in different files of one stream, each file a run: outcomes of all runs."""
+    """Copies that come in different files of one stream, the files of each arrival a run: outcomes of all runs."""
     root = fresh_dir(spark, "stream")
     raw = dirty_orders(spark, d)
     number = F.regexp_extract(F.col("`Order ID`"), r"\d+", 0).cast("long")
     first = raw.dropDuplicates([RAW_ID])
     again = raw.groupBy(*[f"`{c}`" for c in raw.columns]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = [first.where(number % 2 == 0), first.where(number % 2 == 1), again.drop("n")]
-    for part in parts:      # one file, so one run, each
-        part.coalesce(1).write.mode("append").options(**sinks.CSV_WRITE_OPTIONS).csv(f"{root}/in")
     layout = RunLayout(f"{root}/out", "parquet")
-    ledger.start_ledger_stream(spark, f"{root}/in", files.string_schema(raw.columns), SPEC, layout,
-                               f"{root}/checkpoint").awaitTermination()
+    for part in parts:      # files written by all tasks; the stream goes on with them as one run
+        (part.write.mode("append").options(**sinks.CSV_WRITE_OPTIONS)
+         .option("maxRecordsPerFile", ARRIVAL_ROWS).csv(f"{root}/in"))
+        ledger.start_ledger_stream(spark, f"{root}/in", files.string_schema(raw.columns), SPEC, layout,
+                                   f"{root}/checkpoint", files_per_run=None).awaitTermination()
     return sinks.read_outputs(spark, layout.runs, "parquet").drop("run_id")
 
 

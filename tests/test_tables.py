@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecare.operators import profile_state, reconcile
+from tablecare.plans import catalog
 from tablecare.plans.fixtures import dirty_orders
 from tablecare.plans.run import RunLayout
-from tablecare.plans.spec import ORDERS_SPEC
+from tablecare.plans.spec import ORDERS_SPEC, tagged_table
 from tablecare.session import fresh_dir
 from tablecare.sources import files, manifest, sinks, versions
+from tablecare.sources.files import CSV_OPTIONS
 from tablecare.streaming import ledger
 from conftest import SF001
 
@@ -142,3 +144,21 @@ def test_copies_across_files_and_restart(spark):
     assert Counter(got.collect()) == whole
     assert ledger.run_across(some[2], ORDERS_SPEC, layout, "r2") == []        # nothing left to correct
     raw.unpersist()
+
+
+def test_no_task_holds_a_whole_arrival(spark, tmp_path, monkeypatch):
+    """Each arrival of the stream is many files and one run; copies across arrivals are found."""
+    spark.range(3000).selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice",
+        "date'1996-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    started, start = [], ledger.start_ledger_stream
+    monkeypatch.setattr(ledger, "start_ledger_stream", lambda *a, **k: started.append(a) or start(*a, **k))
+    monkeypatch.setattr(catalog, "ARRIVAL_ROWS", 100)
+    got = catalog.q_stream_duplicates(spark, str(tmp_path))
+    source, layout = started[0][1], started[0][4]
+    sizes = spark.read.options(**CSV_OPTIONS).csv(source).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) <= 100 and len(sizes) >= 33
+    assert spark.read.parquet(layout.runs).select("run_id").distinct().count() == 3
+    want = tagged_table(dirty_orders(spark, str(tmp_path)), ORDERS_SPEC)
+    assert Counter(got.select(want.columns).collect()) == Counter(want.collect())
+    assert got.where("duplicate_row").count() > 0
