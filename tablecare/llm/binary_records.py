@@ -109,6 +109,19 @@ class Encoder:
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
         self.starts, self.size = np.zeros(1 << 12, np.int64), 0    # unit k: flat[starts[k]:starts[k+1]]
+        self.met = np.zeros(0, bool)                                # units met again since they were kept
+
+    def _shrink(self) -> None:
+        """Keep what was met again, half of what may be kept at most; the first are the longest kept."""
+        kept = np.flatnonzero(self.met)[:KEEP_UNITS // 2]
+        starts, lengths = self.starts[kept], self.starts[kept + 1] - self.starts[kept]
+        ends = np.cumsum(lengths)
+        ids = self.flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        units = list(self.number)       # in the order of their numbers
+        units = [units[k] for k in kept.tolist()]
+        self._forget()
+        self._append(0, ids, lengths)
+        self.number.update(zip(units, range(len(units))))
 
     def _append(self, first: int, ids: np.ndarray, lengths: np.ndarray) -> None:
         """Ids of the units numbered from ``first``, one after the other."""
@@ -140,9 +153,12 @@ class Encoder:
 
     def _encode_units(self, units: list[bytes], first: int) -> list[int]:
         """Number and keep units from ``first``; their order."""
-        plain, rest = [], []
-        for k, u in enumerate(units):
-            (plain if u[0] in b" \n" and u[-1] > 32 and len(u.split()) == 1 else rest).append(k)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        data, ends = np.frombuffer(b"".join(units), np.uint8), np.cumsum(sizes)
+        opening = data[ends - sizes]
+        white = np.add.reduceat((data <= 32).view(np.int8), ends - sizes, dtype=np.int64)
+        one = ((opening == 32) | (opening == 10)) & (white == 1) & (data[ends - 1] > 32)
+        plain, rest = np.flatnonzero(one).tolist(), np.flatnonzero(~one).tolist()
         for some, encode in ([(plain[at:at + 1000], self._joined) for at in range(0, len(plain), 1000)]
                              + [(rest, self._each)] * bool(rest)):
             self._append(first, *encode([units[k] for k in some]))
@@ -153,8 +169,10 @@ class Encoder:
         """The number of each unit, encoding new ones, and the size to shrink to: long units are
         numbered last and not kept."""
         if len(self.number) + len(units) > KEEP_UNITS:
-            self._forget()
+            self._shrink()
         found = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        self.met = np.concatenate([self.met, np.zeros(len(self.number) - len(self.met), bool)])
+        self.met[found[found >= 0]] = True
         new = np.flatnonzero(found < 0)
         long = np.array([len(units[k]) > KEEP_CHARS for k in new.tolist()], bool)
         at = len(self.number)
@@ -182,14 +200,13 @@ class Encoder:
         units = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
             None, pa.py_buffer(bounds.astype(np.int32)), values]).dictionary_encode()
         numbers, size = self._numbers(units.dictionary.to_pylist())
-        unit = numbers[units.indices.to_numpy()]
-        lengths = self.starts[unit + 1] - self.starts[unit]
-        ends = np.cumsum(lengths)
-        take = np.repeat(self.starts[unit] - ends + lengths, lengths)
-        take += np.arange(len(take))
-        raw = self.flat[take].tobytes()
+        known = int(numbers.max()) + 1
+        ids = pa.Array.from_buffers(pa.large_binary(), known, [
+            None, pa.py_buffer(self.starts[:known + 1] * self.width), pa.py_buffer(self.flat)])
+        taken = ids.take(pa.array(numbers[units.indices.to_numpy()]))
+        ends, raw = np.frombuffer(taken.buffers()[1], np.int64), taken.buffers()[2].to_pybytes()
         self.size = size
-        cuts = np.concatenate(([0], ends))[np.searchsorted(bounds, offsets)] * self.width
+        cuts = ends[np.searchsorted(bounds, offsets)]
         return [raw[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 

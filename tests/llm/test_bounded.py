@@ -181,3 +181,15 @@ def test_encoder_equals_tokenizer():
         assert encoder.encode(texts) == want
     finally:
         binary_records.KEEP_UNITS = kept
+
+
+def test_units_met_again_outlast_a_full_store(monkeypatch):
+    monkeypatch.setattr(binary_records, "KEEP_UNITS", 20)
+    encoder = binary_records.Encoder(tokenizer("byte_bpe_50k.json"))
+    asked, each = [], encoder._encode_units
+    monkeypatch.setattr(encoder, "_encode_units", lambda units, at: asked.extend(units) or each(units, at))
+    for n in range(6):
+        text = f"one same \t two {'x' * 60} " + " ".join(f"w{n}{k}" for k in range(4))
+        assert encoder.encode([text, ""]) == [np.array(encoder.tokenizer.encode(
+            text, add_special_tokens=False).ids, "<u2").tobytes(), b""]
+    assert asked.count(b" two") == 1 and asked.count(b" w00") == 1 and len(encoder.number) <= 20
