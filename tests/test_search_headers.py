@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,28 @@ def test_index_reads_blocks_with_candidates_only(spark, indexed):
     assert "LocalRelation <empty>" in none and "Join" not in none
 
 
+def test_postings_are_lists_made_in_one_pass(spark, indexed):
+    """No entry is a row in a shuffle: a list a gram and chunk, each row once, whatever the alphabet."""
+    df, root = indexed
+    postings = search_index._postings(spark, root)
+    assert postings.columns == ["gram", "block", "base", "rows", "bucket"]
+    got = {(r.gram, r.row) for r in postings.select("gram", "base", F.explode("rows").alias("at"))
+           .select("gram", (F.col("base") + F.col("at")).alias("row")).collect()}
+    texts = search_index._rows(spark, root).select(search_index.ROW, "`t.x`", "u").collect()
+    assert got == {(g, r[0]) for r in texts for t in r[1:] if t for g in search_index.grams_of(t.lower())}
+    assert postings.count() < sum(r.entries for r in spark.read.parquet(f"{root}/counts").collect()) / 3
+
+
+def test_chunks_with_many_letters_or_distant_rows_are_halved():
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 20_000)))
+    row = np.array([5, 1 << 40, 6, 7], np.int64)
+    many = [(wide, 5), ("abc", 1 << 40), (wide[::-1], 6), ("xabc", 7)]
+    out = list(search_index._lists(row, 3, [t for t, _ in many]))
+    got = {(g, b["base"] + at) for x in out for b in x.to_pylist() for g in [b["gram"]] for at in b["rows"]}
+    assert len(out) > 1 and got == {(g, r) for t, r in many for g in search_index.grams_of(t)}
+    assert list(search_index._lists(row[:2], 0, ["ab", ""])) == []
+
+
 def test_index_refuses_bad_columns_and_takes_an_empty_table(spark):
     df = spark.createDataFrame([], "a string")
     with pytest.raises(ValueError, match="invalid search columns"):
